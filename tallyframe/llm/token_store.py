@@ -1,6 +1,7 @@
 """Token-id shards with a minimal perfect hash index from document keys to places in the shards.
 
-Shards are binary files: a header, the documents' token counts, and the raw ids as little-endian unsigned 32-bit integers.
+Shards are binary files: a header, the documents' token counts, and the raw ids as little-endian unsigned integers of 16 bits where
+the vocabulary fits them, else of 32.
 Documents are dealt by ranges of their id, so shards in order of number hold documents in ascending order of id. A task writes
 shards of bounded size through Spark's text writer, one row and so one file each, ended by a line separator that readers drop.
 
@@ -49,6 +50,7 @@ class Encoder:
 
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.kind = "<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4"
         self.pieces, self.model = self.whole.pre_tokenizer.pre_tokenize_str, self.whole.model
         self.known: dict[str, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
@@ -61,12 +63,12 @@ class Encoder:
             if ids is None:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                ids = known[piece] = np.asarray([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+                ids = known[piece] = np.asarray([t.id for t in self.model.tokenize(piece)], self.kind).tobytes()
             out.append(ids)
         return b"".join(out)
 
     def _encode(self, text: str) -> bytes:
-        return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special) or _UNSAFE.search(text):
@@ -101,13 +103,14 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        encoder, part, end = _encoder_for(tokenizer), TaskContext.get().partitionId(), struct.pack("<I", end_id)
+        encoder, part = _encoder_for(tokenizer), TaskContext.get().partitionId()
+        end, width = np.array([end_id], encoder.kind).tobytes(), np.dtype(encoder.kind).itemsize
         held, ids, size, shard, last, ordinal = [], [], 0, 0, (), 0
 
         def flush() -> pd.DataFrame:
-            lengths = np.array([len(x) // 4 for x in held], "<u4")
+            lengths = np.array([len(x) // width for x in held], "<u4")
             keys = np.array([(0 if i is None else i, i is None, o) for i, o in ids], dtype=[("id", "<i8"), ("null", "u1"), ("ordinal", "<u4")])
-            head = MAGIC + struct.pack("<IIII", 1, part, shard, len(held))
+            head = MAGIC + struct.pack("<IIII", width, part, shard, len(held))
             return pd.DataFrame({"shard": [head + lengths.tobytes() + keys.tobytes() + b"".join(held)]})
 
         for f in frames:
@@ -117,7 +120,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
                 last = (i,)
                 held.append(encoder(text) + end)
                 ids.append((i, ordinal))
-                size += len(held[-1]) // 4
+                size += len(held[-1]) // width
                 if size >= SHARD_TOKENS:
                     yield flush()
                     held, ids, size, shard = [], [], 0, shard + 1
@@ -133,14 +136,14 @@ def _parse(data: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
     """part, shard, token counts, keys and ids of a shard file; checks its magic and its length."""
     if data[:4] != MAGIC or len(data) < 20:
         raise ValueError("not a shard of token ids")
-    version, part, shard, n = struct.unpack_from("<IIII", data, 4)
+    width, part, shard, n = struct.unpack_from("<IIII", data, 4)
     lengths = np.frombuffer(data, "<u4", n, 20)
     keys = np.frombuffer(data, [("id", "<i8"), ("null", "u1"), ("ordinal", "<u4")], n, 20 + 4 * n)
     at = 20 + 4 * n + keys.nbytes
     total = int(lengths.sum())
-    if version != 1 or len(data) != at + 4 * total + 1:
-        raise ValueError(f"shard {part}/{shard} has {len(data)} bytes; {at + 4 * total + 1} expected")
-    return part, shard, lengths, keys, np.frombuffer(data, "<u4", total, at)
+    if width not in (2, 4) or len(data) != at + width * total + 1:
+        raise ValueError(f"shard {part}/{shard} has {len(data)} bytes; {at + width * total + 1} expected")
+    return part, shard, lengths, keys, np.frombuffer(data, f"<u{width}", total, at)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -173,7 +176,7 @@ def payload_digests(spark: SparkSession, path: str) -> DataFrame:
             for data in f["content"]:
                 part, shard, lengths, _, ids = _parse(data)
                 ends = np.cumsum(lengths, dtype=np.int64)
-                raw = ids.tobytes()
+                raw = ids.astype("<u4").tobytes()
                 crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 yield pd.DataFrame({"part": part, "shard": shard, "place": ends - lengths, "n_tokens": lengths.astype(np.int64), "crc": np.array(crc, np.int64)})
 
