@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ SHARD_TOKENS = 1 << 20
 RANGE_ROWS = 12_000
 #: Keys of an index bucket, about, and of a displacement group, on average.
 BUCKET_KEYS, GROUP_KEYS = 20_000, 4
-#: Words, and pieces of words, whose ids a worker remembers.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers.
+REMEMBERED = 900_000
 _UNSAFE = re.compile(r"\s (?=\s|$)")
 _encoder: dict = {}
 
@@ -51,21 +52,23 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.kind = "<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.kind == "<u2" else "I"
         self.pieces, self.model = self.whole.pre_tokenizer.pre_tokenize_str, self.whole.model
+        # letters up to U+024F as the pre-tokenizer writes their bytes
+        self.shown = {c: self.pieces(chr(c))[0][0] for c in range(65, 0x250) if chr(c).isalpha()}
+        self.space = self.pieces(" ")[0][0]
+        self.marks = {m: self._encode(m) for m in ".,;:!?"}
         self.known: dict[str, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
+
+    def _ids(self, piece: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        """The ids of a space and a word, piece by piece."""
-        out, known = [], self.known_pieces
-        for piece, _ in self.pieces(f" {word}"):
-            ids = known.get(piece)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[piece] = np.asarray([t.id for t in self.model.tokenize(piece)], self.kind).tobytes()
-            out.append(ids)
-        return b"".join(out)
+        """The ids of a space and a word. A run of letters, with a mark after it or not, needs no pre-tokenizer."""
+        body, mark = (word[:-1], word[-1]) if word[-1:] in self.marks else (word, "")
+        if body.isalpha() and max(body) < "\u0250":
+            return self._ids(self.space + body.translate(self.shown)) + (self.marks[mark] if mark else b"")
+        return b"".join([self._ids(piece) for piece, _ in self.pieces(f" {word}")])
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -74,16 +77,16 @@ class Encoder:
         if any(s in text for s in self.special) or _UNSAFE.search(text):
             return self._encode(text)
         first, *rest = text.split(" ")
-        out = [self._encode(first)]
         known = self.known
-        for word in rest:
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[word] = self._word(word)
-            out.append(ids)
-        return b"".join(out)
+        out = [*map(known.get, rest)]
+        if None in out:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            for i, ids in enumerate(out):
+                if ids is None:
+                    word = rest[i]
+                    out[i] = known[word] = known.get(word) or self._word(word)
+        return self._encode(first) + b"".join(out)
 
 
 def _encoder_for(path: str) -> Encoder:
