@@ -7,12 +7,16 @@ candidate shares a prefix token under the first order at positions that still al
 prefixes under every order then bound the overlap from above, and a pair must pass all bounds before its whole sets
 are compared.
 
-Equal sets are one class from the start. The classes' links are found in two rounds, so that no block of many
-similar documents is expanded into all pairs: first each member of a block meets the block's leader and its
-neighbour in size, and components of verified links are formed; then only pairs of one block that lie in different
-components are compared. Every linking pair shares a block, so after the second round the components are exact.
+Equal sets are one class from the start. The classes' links are found in rounds, so that no block of many
+similar documents is expanded into all pairs: in each of the first rounds every member of a block meets one leader of the
+block, and components of verified links are formed; in the last round only pairs of one block that lie in different
+components are compared. Every linking pair shares a block, so after the last round the components are exact.
 
-Blocks of very frequent tokens are dealt over salted sub-blocks, whose leaders meet in a block of their own.
+In a block two rows are a pair only if their positions leave room for the overlap and if their parity sketches allow it: each token
+flips one of 128 bits, so the bits in which two sketches differ are no more than the tokens that only one of the sets has.
+
+Rows of very frequent tokens are dealt over salted tasks when repeated tokens are told from single ones; a block's leader comes
+from an aggregation, and the rows join it.
 
 Defined cases: null or blank text has no shingles and links with nothing; repeated rows and copies are one class;
 a null id takes part but names no component unless all ids of the component are null; extra columns are ignored.
@@ -34,6 +38,8 @@ from tallyframe.llm.common import materialize, mix, shingle_hashes
 FREQUENT = 50_000
 #: A frequent token's rows are dealt over sub-blocks of about this many.
 BLOCK_ROWS = 20_000
+#: Rounds in which the members of a block meet its leader, before the pairs left are compared.
+TURNS = 2
 _SEEDS = (0x1B873593, 0x5BD1E995)
 
 
@@ -82,6 +88,12 @@ def _class_of(shingles: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(shingles, digest_size=8).digest(), "little", signed=True)
 
 
+def _sketch(s: np.ndarray) -> tuple[int, int]:
+    """128 parity bits: each token flips the bit that its seven lowest bits name."""
+    odd = (np.bincount((s & np.uint64(127)).astype(np.int64), minlength=128) & 1).astype(np.uint8)
+    return tuple(np.packbits(odd).view(np.int64).tolist())
+
+
 def _needed(nx, ny, num: int, den: int):
     """The smallest overlap with which sets of these sizes link."""
     return -(-(num * (nx + ny)) // (num + den))
@@ -101,7 +113,7 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, tokens: np.ndarray, c
                 s = shingle_hashes(text, k)
                 n = len(s)
                 if not n:
-                    rows.append((0, None, None, None, None, None))
+                    rows.append((0, None, None, None, None, None, None, None))
                     continue
                 cls = _class_of(s.tobytes())
                 size = n - -(-num * n // den) + 1
@@ -119,83 +131,68 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, tokens: np.ndarray, c
                     key = mix(s ^ np.uint64(seed)) >> np.uint64(34)
                     key[heavy] |= np.uint64(1 << 30)
                     others.append(np.sort(np.partition(key, size - 1)[:size]).astype(np.int32))
-                rows.append((n, cls, first[order].astype(np.int64), salts if split.max() > 1 else None, *others))
-            out = pd.DataFrame(rows, columns=["n", "cls", "p1", "salts", "p2", "p3"])
-            out["cls"] = out["cls"].astype("Int64")
+                rows.append((n, cls, *_sketch(s), first[order].astype(np.int64), salts if split.max() > 1 else None, *others))
+            out = pd.DataFrame(rows, columns=["n", "cls", "b1", "b2", "p1", "salts", "p2", "p3"])
+            out = out.astype({"cls": "Int64", "b1": "Int64", "b2": "Int64"})
             out.insert(0, "id", frame["id"].to_numpy())
             yield out
 
-    return docs.mapInPandas(build, "id long, n int, cls long, p1 array<long>, salts array<int>, p2 array<int>, p3 array<int>")
+    return docs.mapInPandas(build, "id long, n int, cls long, b1 long, b2 long, p1 array<long>, salts array<int>, p2 array<int>, p3 array<int>")
+
+
+def _scan_repeats(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows sorted by token, salt, n, pos, cls: those of tokens that two classes have, each class once. A salted token is
+    frequent, so its rows all stay. Holds a batch and a row, however many rows a token has."""
+    names = ["token", "salt", "n", "pos", "cls"]
+    held: list[np.ndarray] | None = None
+    before = False  # whether the held row's token has another class before it
+    for frame in frames:
+        a = [frame[c].to_numpy() for c in names]
+        if held is not None:
+            a = [np.concatenate((x, y)) for x, y in zip(held, a, strict=True)]
+        token = (a[0][1:] == a[0][:-1]) & (a[1][1:] == a[1][:-1])
+        fresh = np.concatenate(([True], ~(token & (a[4][1:] == a[4][:-1]))))
+        a, token = [x[fresh] for x in a], token[fresh[1:]]
+        keep = np.concatenate(([before], token)) | np.concatenate((token, [False])) | (a[1] > 0)
+        held, before = [x[-1:] for x in a], bool(token[-1]) if len(token) else before
+        yield pd.DataFrame({c: x[:-1][keep[:-1]] for c, x in zip(names, a, strict=True)})
+    if held is not None and (before or held[1][0] > 0):
+        yield pd.DataFrame(dict(zip(names, held, strict=True)))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    keys = ["token", "salt"]
+    sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys, "n", "pos", "cls")
+    return sorted_rows.mapInPandas(_scan_repeats, "token long, salt int, n int, pos int, cls long")
 
 
-def _may_link(nx, ix, ny, iy, num: int, den: int) -> bool:
-    """Whether a first shared token at these positions leaves room for the needed overlap."""
-    need = _needed(nx, ny, num, den)
-    return nx - ix >= need and ny - iy >= need
+def _admissible(num: int, den: int) -> Column:
+    """Whether rows a and b of one block may be a pair: different components, room for the overlap, sketches near enough."""
+    need = F.expr(f"((n_a + n_b) * {num} + {num + den - 1}) div {num + den}")
+    apart = F.bit_count(F.col("b1_a").bitwiseXOR(F.col("b1_b"))) + F.bit_count(F.col("b2_a").bitwiseXOR(F.col("b2_b")))
+    room = (F.col("n_a") - F.col("pos_a") >= need) & (F.col("n_b") - F.col("pos_b") >= need)
+    return (F.col("comp_a") != F.col("comp_b")) & room & (apart <= F.col("n_a") + F.col("n_b") - 2 * need)
 
 
-def _scan_blocks(num: int, den: int):
-    """Over rows sorted by token, salt, n, pos, cls: the rows of blocks of two or more, with the pairs of leader and member
-    and of neighbours. It holds one row of a block at a time, however large the block is."""
+_ROW = ["n", "pos", "cls", "comp", "b1", "b2"]
+
+
+def _side(rows: DataFrame, at: str) -> DataFrame:
+    return rows.select("token", *(F.col(c).alias(f"{c}_{at}") for c in _ROW))
 
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["token", "salt", "n", "pos", "cls"]
-        carry, key, lead, prev, known = None, None, None, None, False
-        for frame in frames:
-            a = [frame[c].to_numpy() for c in names]
-            if carry is not None:
-                a = [np.concatenate(([c], x)) for c, x in zip(carry, a, strict=True)]
-            same = (a[0][1:] == a[0][:-1]) & (a[1][1:] == a[1][:-1])
-            before = np.concatenate(([known], same))
-            after = np.concatenate((same, [False]))
-            last = len(a[0]) - 1
-            keep = np.flatnonzero((before | after)[:last])
-            out = []
-            for t, s, n, i, c in zip(*(x[keep].tolist() for x in a), strict=True):
-                key, lead, prev = _step(out, (t, s), (n, i, c), key, lead, prev, num, den)
-            carry, known = [x[last] for x in a], bool(before[last])
-            if out:
-                yield _frame(out)
-        if carry is not None and known:
-            out = []
-            t, s, n, i, c = (int(x) for x in carry)
-            _step(out, (t, s), (n, i, c), key, lead, prev, num, den)
-            if out:
-                yield _frame(out)
-
-    return scan
-
-
-def _step(out, key, row, last_key, lead, prev, num, den):
-    if key != last_key:
-        out.append((*key, *row, True, None, None))
-        return key, row, row
-    if row[2] == prev[2]:  # a copy
-        return key, lead, prev
-    with_lead = _may_link(row[0], row[1], lead[0], lead[1], num, den)
-    with_prev = prev is not lead and _may_link(row[0], row[1], prev[0], prev[1], num, den)
-    out.append((*key, *row, not with_lead, lead[2] if with_lead else None, prev[2] if with_prev else None))
-    return key, lead if with_lead else row, row
-
-
-def _frame(out: list) -> pd.DataFrame:
-    frame = pd.DataFrame(out, columns=["token", "salt", "n", "pos", "cls", "leads", "lead", "prev"])
-    return frame.astype({"lead": "Int64", "prev": "Int64"})
-
-
-_BLOCK = "token long, salt int, n int, pos int, cls long, leads boolean, lead long, prev long"
-
-
-def _blocks(rows: DataFrame, num: int, den: int) -> DataFrame:
-    keys = ["token", "salt"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "n", "pos", "cls").mapInPandas(_scan_blocks(num, den), _BLOCK)
 
+def _led_pairs(rows: DataFrame, num: int, den: int, turn: int) -> DataFrame:
+    """Pairs of each block's leader and its other members. First the row nearest to the block's beginning leads, later a random one."""
+    first = F.col("pos") if turn == 0 else F.xxhash64(F.lit(turn), "cls").cast("long")
+    leads = rows.groupBy("token").agg(F.min(F.struct(first.alias("o"), *_ROW)).alias("lead")).select("token", *(F.col(f"lead.{c}").alias(f"{c}_a") for c in _ROW))
+    met = _side(rows, "b").join(leads, "token").where(_admissible(num, den))
+    return met.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
 
-def _pairs_of(blocks: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of classes."""
-    other = F.explode(F.array("lead", "prev"))
-    both = blocks.where("lead is not null or prev is not null").select("cls", other.alias("o")).where("o is not null and o <> cls")
-    return both.select(F.least("cls", "o").alias("a"), F.greatest("cls", "o").alias("b")).distinct()
+
+def _open_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of one block that lie in different components."""
+    met = _side(rows, "a").join(_side(rows, "b"), "token").where(F.col("cls_a") < F.col("cls_b")).where(_admissible(num, den))
+    return met.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, table: DataFrame, reps: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -283,35 +280,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     tokens, counts = _frequent_tokens(docs, k)
     table = materialize(_prefixes(docs, k, num, den, tokens, counts), "jaccard-prefixes")
-    reps = table.where("cls is not null").groupBy("cls").agg(F.min("id").alias("rep"))
+    whole = table.where("n > 0")
+    reps = materialize(whole.groupBy("cls").agg(F.min("id").alias("rep"), F.min("b1").alias("b1"), F.min("b2").alias("b2")), "jaccard-classes")
 
-    posted = table.where("n > 0").select(
-        "n", "cls", F.posexplode(F.expr("arrays_zip(p1, coalesce(salts, array_repeat(0, size(p1))))")).alias("pos", "t")
-    )
+    posted = whole.select("n", "cls", F.posexplode(F.expr("arrays_zip(p1, coalesce(salts, array_repeat(0, size(p1))))")).alias("pos", "t"))
     rows = posted.select(F.col("t.p1").alias("token"), F.col("t.1").alias("salt"), "n", "pos", "cls")
-    blocks = materialize(_blocks(rows, num, den), "jaccard-blocks")
-    met = _pairs_of(blocks)
-    if len(counts) and counts.max() > BLOCK_ROWS:
-        heads = blocks.where("leads").select("token", F.lit(0).alias("salt"), "n", "pos", "cls")
-        met = met.unionByName(_pairs_of(_blocks(heads, num, den))).distinct()
-    first = materialize(met, "jaccard-pairs")
-    linked = materialize(_verified(first, table, reps, docs, k, num, den), "jaccard-links")
-
-    groups = components(linked)
-    placed = reps.join(groups, reps["rep"] == groups["node"], "left").select("cls", F.coalesce("comp", "rep").alias("comp"))
-    held = blocks.select("token", "n", "pos", "cls").join(placed, "cls")
-    split = held.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    open_rows = materialize(held.join(split, "token", "left_semi"), "jaccard-open")
-    left, right = (open_rows.select("token", *(F.col(c).alias(f"{c}_{at}") for c in ("n", "pos", "cls", "comp"))) for at in "ab")
-    need = F.expr(f"((n_a + n_b) * {num} + {num + den - 1}) div {num + den}")
-    room: Column = (F.col("n_a") - F.col("pos_a") >= need) & (F.col("n_b") - F.col("pos_b") >= need)
-    order = (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
-    rest = left.join(right, "token").where(order & room).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
-    second = materialize(rest.join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = _verified(second, table, reps, docs, k, num, den)
-
-    whole = components(linked.unionByName(more))
-    named = reps.join(whole, reps["rep"] == whole["node"], "left").select("cls", F.coalesce("comp", "rep").alias("comp"))
-    return table.select("id", "n", "cls").join(named, "cls", "left").select(
+    repeated = _repeated(rows).drop("salt")
+    open_rows = materialize(repeated.join(reps, "cls").where("rep is not null").withColumn("comp", F.col("rep")), "jaccard-rows")
+
+    linked, named = None, None
+    for turn in range(TURNS + 1):
+        last = turn == TURNS
+        pairs = materialize(_open_pairs(open_rows, num, den) if last else _led_pairs(open_rows, num, den, turn), "jaccard-pairs")
+        found = _verified(pairs, table, reps, docs, k, num, den)
+        linked = materialize(found if linked is None else linked.unionByName(found), "jaccard-links")
+        named = components(linked)
+        if not last:  # only tokens whose rows lie in several components stay open
+            moved = open_rows.join(named, open_rows["rep"] == named["node"], "left")
+            now = moved.select("token", "n", "pos", "cls", "rep", "b1", "b2", F.coalesce(named["comp"], "rep").alias("comp"))
+            split = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+            open_rows = materialize(now.join(split, "token", "left_semi"), "jaccard-rows")
+    final = reps.join(named, reps["rep"] == named["node"], "left").select("cls", F.coalesce("comp", "rep").alias("comp"))
+    return table.select("id", "n", "cls").join(final, "cls", "left").select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id")
     )
