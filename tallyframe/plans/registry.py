@@ -1,4 +1,14 @@
 """All registered queries of the reference's own operators, with their SQL twins."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tallyframe.plans import (  # noqa: F401
+    aggregate_queries,
+    join_queries,
+    rank_queries,
+    scalar_queries,
+    score_queries,
+    structure_queries,
+    vote_queries,
+)
+from tallyframe.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
