@@ -101,7 +101,7 @@ def query_clades(edges: DataFrame, queries: DataFrame) -> DataFrame:
     under = ancestors(edges).join(marked, ["tree", "node"]).groupBy("tree", "ancestor").agg(
         F.bool_and("q").alias("pure"), F.array_sort(F.collect_list("leaf")).alias("members")
     )
-    tagged = edges.join(under, (edges["tree"] == under["tree"]) & (edges["node"] == under["ancestor"])).select(edges["tree"], "node", "parent", "pure", "members")
+    tagged = edges.select("tree", "node", "parent").join(under.withColumnRenamed("ancestor", "node"), ["tree", "node"])
     above = under.select(F.col("tree").alias("_t"), F.col("ancestor").alias("_p"), F.col("pure").alias("_pure"))
     top = tagged.join(above, (F.col("tree") == F.col("_t")) & (F.col("parent") == F.col("_p")), "left")
     return top.where("pure and not coalesce(_pure, false)").select("tree", "node", F.array_join("members", ";").alias("members"), F.size("members").alias("size"))

@@ -68,7 +68,7 @@ def mean_pairwise_distance(spark, sf):
 
 
 @query(f"""WITH {PAIRS}, ed AS (SELECT a, b FROM pairs WHERE overlap >= 0.02 AND shared >= 12), bi AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed),
-reach AS (WITH RECURSIVE r AS (SELECT a AS node, a AS seen FROM bi UNION SELECT r.node, bi.b FROM r JOIN bi ON r.seen = bi.a) SELECT * FROM r)
+reach AS (WITH RECURSIVE r AS (SELECT a AS node, a AS seen, 0 AS d FROM bi UNION SELECT r.node, bi.b, r.d + 1 FROM r JOIN bi ON r.seen = bi.a WHERE r.d < 8) SELECT * FROM r)
 SELECT node, min(seen) AS component FROM reach GROUP BY node""")
 def overlap_components(spark, sf):
     return graph.overlap_groups(pairs(spark, sf), 0.02, 12)
