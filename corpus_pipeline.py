@@ -25,7 +25,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     extra = found.where("component_id <> doc_id").select("doc_id").distinct()
     once = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
     kept = docs.join(extra, "doc_id", "left_anti")
-    again = kept.join(once.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    again = kept.join(once.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(once.select("doc_id"), "doc_id", "left_anti").unionByName(again).select(docs.columns)
 
 

@@ -164,6 +164,6 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without the contaminated rows, same columns."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    judged = contamination(docs, benchmark, **options).where("contaminated").select(F.col(id_col).alias("_id"), F.col("hash").alias("_hash")).distinct()
+    judged = contamination(docs, benchmark, **options).where("contaminated").select(F.col(id_col).alias("_tf_id"), F.col("hash").alias("_tf_hash")).distinct()
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    return docs.join(judged, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left_anti")
+    return docs.join(judged, docs[id_col].eqNullSafe(F.col("_tf_id")) & (F.xxhash64(text) == F.col("_tf_hash")), "left_anti")

@@ -19,7 +19,8 @@ Rows of very frequent tokens are dealt over salted tasks when repeated tokens ar
 from an aggregation, and the rows join it.
 
 Defined cases: null or blank text has no shingles and links with nothing; repeated rows and copies are one class;
-a null id takes part but names no component unless all ids of the component are null; extra columns are ignored.
+a row without id shares its copies' component but no text is fetched by it: a class of such rows alone stays apart, its component null;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -132,12 +133,14 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, tokens: np.ndarray, c
                     key[heavy] |= np.uint64(1 << 30)
                     others.append(np.sort(np.partition(key, size - 1)[:size]).astype(np.int32))
                 rows.append((n, cls, *_sketch(s), first[order].astype(np.int64), salts if split.max() > 1 else None, *others))
-            out = pd.DataFrame(rows, columns=["n", "cls", "b1", "b2", "p1", "salts", "p2", "p3"])
-            out = out.astype({"cls": "Int64", "b1": "Int64", "b2": "Int64"})
-            out.insert(0, "id", frame["id"].to_numpy())
-            yield out
-
-    return docs.mapInPandas(build, "id long, n int, cls long, b1 long, b2 long, p1 array<long>, salts array<int>, p2 array<int>, p3 array<int>")
+            columns = dict(zip(["n", "cls", "b1", "b2", "p1", "salts", "p2", "p3"], zip(*rows, strict=True), strict=True)) if rows else {}
+            for c in ("cls", "b1", "b2"):  # a frame would make floats of integers beside nulls
+                columns[c] = pd.array(columns.get(c, []), dtype="Int64")
+            yield pd.DataFrame({"id": frame["id"], "no_id": frame["no_id"], **columns})
+
+    given = docs.select(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("no_id"), "text")
+    built = given.mapInPandas(build, "id long, no_id boolean, n int, cls long, b1 long, b2 long, p1 array<long>, salts array<int>, p2 array<int>, p3 array<int>")
+    return built.withColumn("id", F.when(~F.col("no_id"), F.col("id"))).drop("no_id")
 
 
 def _scan_repeats(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -154,23 +154,24 @@ def text_shards(docs: DataFrame, shards: int | None = None, target_bytes: int |
 def shard(
     docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, id_col="doc_id", text_col="text", source_col="source", lang_col="lang"
 ) -> DataFrame:
-    """docs' columns and _size, _shard, _slot."""
+    """docs' columns and _size, _shard, _slot, which replace columns of these names."""
     placed = text_shards(docs, shards, target_bytes, text_col, source_col, lang_col)
     text = F.col(text_col).cast("string")
     key = F.coalesce(F.sha2(text, 256), F.lit(""))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
-    tagged = docs.withColumns({"_size": size, "_key": key}).alias("d").join(placed.alias("p"), F.col("d._key") == F.col("p.key"))
-    rows = tagged.select("d.*", F.col("p.shard").alias("_shard"))
-    return _slots(rows, docs.columns, id_col, docs.count())
+    tagged = docs.withColumns({"_size": size, "_tf_key": key}).alias("d").join(placed.alias("p"), F.col("d._tf_key") == F.col("p.key"))
+    rows = tagged.select("d.*", F.col("p.shard").alias("_tf_shard")).drop("_shard").withColumnRenamed("_tf_shard", "_shard")
+    own = [c for c in docs.columns if c not in ("_size", "_shard", "_slot")]
+    return _slots(rows, own, id_col, docs.count())
 
 
 def _slots(rows: DataFrame, columns: list[str], id_col: str, n: int) -> DataFrame:
     buckets = max(1, n // BUCKET_ROWS)
-    own = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_key")
-    rows = rows.withColumns({"_own": own, "_bucket": F.pmod(own, F.lit(buckets)).cast("int")})
-    counts = rows.groupBy("_shard", "_bucket").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("_shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    bases = counts.select("_shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    numbered = rows.withColumn("_rn", F.row_number().over(W.partitionBy("_shard", "_bucket").orderBy("_own")) - 1)
-    joined = numbered.join(bases, ["_shard", "_bucket"])
-    return joined.select(*(F.col(f"`{c}`") for c in columns), "_size", "_shard", (F.col("_base") + F.col("_rn")).alias("_slot"))
+    own = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_tf_key")
+    rows = rows.withColumns({"_tf_own": own, "_tf_bucket": F.pmod(own, F.lit(buckets)).cast("int")})
+    counts = rows.groupBy("_shard", "_tf_bucket").agg(F.count("*").alias("_tf_n"))
+    before = W.partitionBy("_shard").orderBy("_tf_bucket").rowsBetween(W.unboundedPreceding, -1)
+    bases = counts.select("_shard", "_tf_bucket", F.coalesce(F.sum("_tf_n").over(before), F.lit(0)).alias("_tf_base"))
+    numbered = rows.withColumn("_tf_rn", F.row_number().over(W.partitionBy("_shard", "_tf_bucket").orderBy("_tf_own")) - 1)
+    joined = numbered.join(bases, ["_shard", "_tf_bucket"])
+    return joined.select(*(F.col(f"`{c}`") for c in columns), "_size", "_shard", (F.col("_tf_base") + F.col("_tf_rn")).alias("_slot"))

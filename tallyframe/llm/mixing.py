@@ -103,7 +103,7 @@ def plan(totals: DataFrame, mix: Mix) -> DataFrame:
 
 
 def temperature_mix(docs: DataFrame, mix: Mix, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs' columns and _tokens, _epoch, _block, _slot: each row as often as the mixture takes it.
+    """docs' columns and _tokens, _epoch, _block, _slot, which replace columns of these names: each row as often as the mixture takes it.
 
     Sorting by (_epoch, _block, _slot) streams the mixture: blocks of all sources are permuted together within an epoch.
     """
@@ -134,15 +134,19 @@ def temperature_mix(docs: DataFrame, mix: Mix, source_col: str = "source", id_co
     ends = took(last).select("d.*", "c.before").withColumn("upto", F.coalesce(F.sum("tokens").over(in_block), F.lit(0)) + F.col("before"))
     chosen = from_whole.unionByName(ends.where("upto < partial").select("source", "key")).select("source", "key", F.lit(1).alias("extra"))
 
-    plus = docs.withColumns({"_tokens": tokens_of(F.col(text_col)), "_key": key, "_source": F.col(source_col).cast("string")})
-    sized = plus.alias("d").join(shared.alias("w"), F.col("d._source").eqNullSafe(F.col("w.source"))).select("d.*", "w.passes", "w.n", (F.col("w.partial") > 0).alias("_open"))
-    marked = sized.alias("s").join(
-        chosen.alias("c"), F.col("s._source").eqNullSafe(F.col("c.source")) & (F.col("s._key") == F.col("c.key")) & F.col("s._open"), "left"
-    ).select("s.*", (F.col("passes") + F.coalesce("c.extra", F.lit(0))).alias("_times"))
-    repeated = marked.where("_times > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
-    own = repeated.withColumn("_b", F.pmod(F.xxhash64(F.lit(mix.seed), F.lit("block"), "_epoch", "_key"), blocks()))
-    return own.withColumns({
-        "_block": F.xxhash64(F.lit(mix.seed), F.lit("order"), "_epoch", F.coalesce("_source", F.lit("")), "_b"),
-        "_slot": F.xxhash64(F.lit(mix.seed), F.lit("row"), "_epoch", "_key"),
-    }).select(*(F.col(f"`{c}`") for c in docs.columns), "_tokens", "_epoch", "_block", "_slot")
-
+    added = ("_tokens", "_epoch", "_block", "_slot")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    plus = docs.select(*kept, tokens_of(F.col(text_col)).alias("_tokens"), key.alias("_tf_key"), F.col(source_col).cast("string").alias("_tf_source"))
+    told = shared.select(F.col("source").alias("_tf_s"), F.col("passes").alias("_tf_passes"), F.col("n").alias("_tf_n"), (F.col("partial") > 0).alias("_tf_open"))
+    sized = plus.join(told, F.col("_tf_source").eqNullSafe(F.col("_tf_s"))).drop("_tf_s")
+    extra = chosen.select(F.col("source").alias("_tf_s"), F.col("key").alias("_tf_k"), F.col("extra").alias("_tf_extra"))
+    taken = F.col("_tf_source").eqNullSafe(F.col("_tf_s")) & (F.col("_tf_key") == F.col("_tf_k")) & F.col("_tf_open")
+    times = F.col("_tf_passes") + F.coalesce("_tf_extra", F.lit(0))
+    marked = sized.join(extra, taken, "left").withColumn("_tf_times", times).where("_tf_times > 0")
+    repeated = marked.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tf_times") - 1)))
+    seed, n_blocks = F.lit(mix.seed), F.greatest(F.ceil(F.col("_tf_n") / BLOCK_ROWS), F.lit(1)).cast("long")
+    block = F.pmod(F.xxhash64(seed, F.lit("block"), "_epoch", "_tf_key"), n_blocks)
+    return repeated.select(
+        *kept, "_tokens", "_epoch", F.xxhash64(seed, F.lit("order"), "_epoch", F.coalesce("_tf_source", F.lit("")), block).alias("_block"),
+        F.xxhash64(seed, F.lit("row"), "_epoch", "_tf_key").alias("_slot"),
+    )

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import mix, word_hashes
@@ -142,10 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(vectors, rows["grade"].to_numpy(np.int64), 3)
 
 
-def scored(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text") -> DataFrame:
-    """docs' columns and _expected_grade, _p_low (P(grade >= 1)), _p_good (P(grade >= 2))."""
-    if model is None:
-        return docs.withColumns({"_expected_grade": F.lit(2.0), "_p_low": F.lit(1.0), "_p_good": F.lit(1.0)})
+def _tails(docs: DataFrame, model: OrdinalModel, text_col: str) -> Column:
+    """struct<p_low, p_good> of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(OrdinalModel(model.weights.astype(np.float32), model.thresholds))
 
     @F.pandas_udf("p_low double, p_good double")
@@ -153,8 +151,15 @@ def scored(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text")
         m = shared.value
         return pd.DataFrame([m.tails(m.score(t)) for t in texts], columns=["p_low", "p_good"])
 
-    rated = docs.withColumn("_p", tails(F.col(text_col).cast("string")))
-    return rated.withColumns({"_expected_grade": F.col("_p.p_low") + F.col("_p.p_good"), "_p_low": F.col("_p.p_low"), "_p_good": F.col("_p.p_good")}).drop("_p")
+    return tails(F.col(text_col).cast("string"))
+
+
+def scored(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text") -> DataFrame:
+    """docs' columns and _expected_grade, _p_low (P(grade >= 1)), _p_good (P(grade >= 2)), which replace columns of these names."""
+    if model is None:
+        return docs.withColumns({"_expected_grade": F.lit(2.0), "_p_low": F.lit(1.0), "_p_good": F.lit(1.0)})
+    rated = docs.withColumn("_tf_p", _tails(docs, model, text_col))
+    return rated.withColumns({"_expected_grade": F.col("_tf_p.p_low") + F.col("_tf_p.p_good"), "_p_low": F.col("_tf_p.p_low"), "_p_good": F.col("_tf_p.p_good")}).drop("_tf_p")
 
 
 #: Rows are kept whose probability of the top grade is at least this.
@@ -164,4 +169,7 @@ KEEP = 0.5
 def select_quality(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **columns) -> DataFrame:
     """The rows of docs that the classifier keeps, with docs' columns."""
     model = train(docs, labels, **columns)
-    return scored(docs, model, columns.get("text_col", "text")).where(F.col("_p_good") >= keep).select(*(F.col(f"`{c}`") for c in docs.columns))
+    if model is None:
+        return docs
+    rated = docs.withColumn("_tf_p", _tails(docs, model, columns.get("text_col", "text")))
+    return rated.where(F.col("_tf_p.p_good") >= keep).select(*(F.col(f"`{c}`") for c in docs.columns))

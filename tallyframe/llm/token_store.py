@@ -99,9 +99,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
     """Write docs' ids below path; return (id, ordinal, part, shard, place, n_tokens) of each document: shard numbers within the
     range `part`, place in tokens within the shard."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    key = F.col(id_col).cast("long")
+    rows = docs.select(key.alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     parts = max(1, -(-rows.count() // RANGE_ROWS))
-    ranged = rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+    order = F.col("id").asc_nulls_first()
+    ranged = rows.repartitionByRange(parts, order).sortWithinPartitions(order, "text").select(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("no_id"), "text")
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -117,8 +119,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
             return pd.DataFrame({"shard": [head + lengths.tobytes() + keys.tobytes() + b"".join(held)]})
 
         for f in frames:
-            for i, text in zip(f["id"], f["text"], strict=True):
-                i = None if pd.isna(i) else int(i)
+            for i, no_id, text in zip(f["id"].tolist(), f["no_id"].tolist(), f["text"], strict=True):
+                i = None if no_id else i
                 ordinal = ordinal + 1 if (i,) == last else 0
                 last = (i,)
                 held.append(encoder(text) + end)
@@ -186,10 +188,14 @@ def payload_digests(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInPandas(read, "part int, shard int, place long, n_tokens long, crc long")
 
 
-def _key_hash(ids: pd.Series, ordinals: pd.Series) -> np.ndarray:
-    null = ids.isna().to_numpy()
-    raw = ids.fillna(0).to_numpy(np.int64).view(np.uint64)
-    return mix(mix(raw ^ mix(ordinals.to_numpy(np.int64).view(np.uint64))) + null.astype(np.uint64))
+def _key_hash(keys: pd.DataFrame) -> np.ndarray:
+    raw, ordinals = (keys[c].to_numpy(np.int64).view(np.uint64) for c in ("id", "ordinal"))
+    return mix(mix(raw ^ mix(ordinals)) + keys["no_id"].to_numpy(bool).astype(np.uint64))
+
+
+def _whole(keys: DataFrame, *rest: str) -> DataFrame:
+    """Keys without nulls, as pandas would make floats of integers beside them."""
+    return keys.select(F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("no_id"), "ordinal", *rest)
 
 
 def _slots(h: np.ndarray, displacement: np.ndarray, n: int) -> np.ndarray:
@@ -235,8 +241,8 @@ def build_index(contents: DataFrame, path: str) -> int:
 
     def tag(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            h = _key_hash(f["id"], f["ordinal"])
-            yield f.assign(h=h.view(np.int64), bucket=(h % np.uint64(buckets)).astype(np.int32)).drop(columns=["id", "ordinal"])
+            h = _key_hash(f)
+            yield f.assign(h=h.view(np.int64), bucket=(h % np.uint64(buckets)).astype(np.int32)).drop(columns=["id", "no_id", "ordinal"])
 
     def build(f: pd.DataFrame) -> pd.DataFrame:
         h = f["h"].to_numpy(np.int64).view(np.uint64)
@@ -249,7 +255,7 @@ def build_index(contents: DataFrame, path: str) -> int:
         columns = {"fingerprints": put(mix(h) >> np.uint64(32), "<u4"), "part": put(f["part"], "<i4"), "shard": put(f["shard"], "<i4"), "place": put(f["place"], "<i8"), "n_tokens": put(f["n_tokens"], "<i8")}
         return pd.DataFrame([{"bucket": int(f["bucket"].iloc[0]), "displacements": d.tobytes(), **columns}])
 
-    tagged = contents.mapInPandas(tag, "part int, shard int, place long, n_tokens long, h long, bucket int")
+    tagged = _whole(contents, "part", "shard", "place", "n_tokens").mapInPandas(tag, "part int, shard int, place long, n_tokens long, h long, bucket int")
     tagged.groupBy("bucket").applyInPandas(build, _INDEX).write.parquet(path)
     return buckets
 
@@ -257,28 +263,29 @@ def build_index(contents: DataFrame, path: str) -> int:
 def lookup(keys: DataFrame, path: str, buckets: int) -> DataFrame:
     """keys(id, ordinal) with part, shard, place, n_tokens; keys whose fingerprint differs are left out."""
     index = keys.sparkSession.read.schema(_INDEX).parquet(path)
+    found = "id long, no_id boolean, ordinal long, part int, shard int, place long, n_tokens long"
 
     def tag(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            h = _key_hash(f["id"], f["ordinal"])
-            yield pd.DataFrame({"id": f["id"].astype("Int64"), "ordinal": f["ordinal"], "bucket": (h % np.uint64(buckets)).astype(np.int32)})
+            yield f.assign(bucket=(_key_hash(f) % np.uint64(buckets)).astype(np.int32))
 
     def find(key: tuple, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
-            return pd.DataFrame({c.split()[0]: [] for c in _PLACES.split(", ")})
+            return pd.DataFrame({c.split()[0]: [] for c in found.split(", ")})
         row = held.iloc[0]
         d, prints = np.frombuffer(row["displacements"], "<i4"), np.frombuffer(row["fingerprints"], "<u4")
-        h = _key_hash(asked["id"], asked["ordinal"])
+        h = _key_hash(asked)
         at = _slots(h, d[((h >> np.uint64(32)) % np.uint64(len(d))).astype(np.int64)], len(prints))
         known = prints[at] == (mix(h) >> np.uint64(32)).astype(np.uint32)
         at = at[known]
-        out = asked.loc[known, ["id", "ordinal"]].astype({"id": "Int64"})
+        out = asked.loc[known, ["id", "no_id", "ordinal"]]
         for c, kind in (("part", "<i4"), ("shard", "<i4"), ("place", "<i8"), ("n_tokens", "<i8")):
             out[c] = np.frombuffer(row[c], kind)[at]
         return out
 
-    tagged = keys.mapInPandas(tag, "id long, ordinal long, bucket int")
-    return tagged.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, _PLACES)
+    tagged = _whole(keys).mapInPandas(tag, "id long, no_id boolean, ordinal long, bucket int")
+    met = tagged.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, found)
+    return met.withColumn("id", F.when(~F.col("no_id"), F.col("id"))).drop("no_id")
 
 
 def keyed_read(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

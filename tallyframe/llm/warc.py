@@ -90,7 +90,7 @@ def write_archives(
     keepers = groups.select("sha1", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int"))
     refers = F.when(long & F.col("keeper").isNotNull() & (F.col("id").isNull() | (F.col("id") < F.col("keeper"))), F.col("keeper"))
-    told = rows.join(keepers, ["sha1", "salt"], "left").select("id", "url", "payload", "sha1", refers.alias("refers"))
+    told = rows.join(keepers, ["sha1", "salt"], "left").select(F.col("id").cast("string").alias("id"), "url", "payload", "sha1", refers.cast("string").alias("refers"))
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lead, options = b"", {}
@@ -101,9 +101,7 @@ def write_archives(
         held, size = [], 0
         for f in frames:
             for i, url, payload, sha1, to in zip(f["id"], f["url"], f["payload"], f["sha1"], f["refers"], strict=True):
-                name = None if pd.isna(i) else str(int(i))
-                refers_to = None if pd.isna(to) else str(int(to))
-                frame = packer.compress(_record(name, url, payload.encode("utf-8", "surrogatepass"), sha1, refers_to, date))
+                frame = packer.compress(_record(i, url, payload.encode("utf-8", "surrogatepass"), sha1, to, date))
                 if size and size + len(frame) > ARCHIVE_BYTES:
                     yield pd.DataFrame({"archive": [lead + b"".join(held)]})
                     held, size = [], 0
@@ -209,9 +207,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         raise WarcError(f"payload length is {n}, the payload has {len(payload)} bytes")
                     digest = base64.b32decode(h["warc-payload-digest"].removeprefix("sha1:")).hex()
                     out.append((number(h["warc-record-id"]), h.get("warc-target-uri"), n, digest, h["warc-type"], number(h.get("warc-refers-to")), payload))
-                frame = pd.DataFrame(out, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                columns = dict(zip(names, zip(*out, strict=True), strict=True)) if out else {c: [] for c in names}
+                for c in ("page_id", "refers_to"):  # a frame would make floats of integers beside nulls
+                    columns[c] = pd.array(columns[c], dtype="Int64")
+                yield pd.DataFrame(columns)
 
+    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     return files.mapInPandas(unpack, schema)
