@@ -86,8 +86,8 @@ def count_of(x: Column, chars: str) -> Column:
 
 
 def gc_percent(x: Column) -> Column:
-    up = F.upper(x)
-    return F.coalesce(F.try_divide(count_of(up, "GC") * 100.0, F.length(up)), F.lit(0.0))
+    """Share of G and C in either case. Upper case is not taken first: it lengthens some letters."""
+    return F.coalesce(F.try_divide(count_of(x, "GCgc") * 100.0, F.length(x)), F.lit(0.0))
 
 
 def alphabet(x: Column) -> Column:
@@ -131,9 +131,23 @@ def ratio_text(n: Column, total: Column) -> Column:
 
 
 def fixed_text(x: Column, digits: int) -> Column:
-    """A number with fixed digits: NaN as NaN, null as blank; rounded as a decimal, half up."""
-    d = x.cast("decimal(38,12)")
-    return F.when(x.isNull(), "").when(F.isnan(x.cast("double")), "NaN").otherwise(F.round(d, digits).cast(f"decimal(38,{digits})").cast("string"))
+    """A number with at most three fixed digits: NaN as NaN, null as blank. The exact binary value is rounded, ties to even.
+
+    The fraction of a double is a whole number of 2 ** -52 parts once it is 1 or more, so integers do the rounding.
+    """
+    if not 0 <= digits <= 3:
+        raise ValueError("between 0 and 3 digits")
+    v, one = F.abs(x.cast("double")), 1 << 52
+    whole = F.floor(v).cast("long")
+    parts = ((v - F.floor(v)) * F.lit(float(one))).cast("long") * 10**digits
+    kept, rest = F.shiftright(parts, 52), parts.bitwiseAND(F.lit(one - 1))
+    odd = F.pmod(kept if digits else whole, F.lit(2)) == 1
+    kept = kept + ((rest > one // 2) | ((rest == one // 2) & odd)).cast("long")
+    full = kept == 10**digits  # the fraction rounds up to 1
+    text = F.concat(F.when(x < 0, "-").otherwise(""), (whole + full.cast("long")).cast("string"))
+    if digits:
+        text = F.concat(text, F.lit("."), F.lpad(F.when(full, 0).otherwise(kept).cast("string"), digits, "0"))
+    return F.when(x.isNull(), "").when(F.isnan(x.cast("double")), "NaN").otherwise(text)
 
 
 def only_numeric(x: Column, digits: int) -> Column:

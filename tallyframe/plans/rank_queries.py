@@ -91,11 +91,11 @@ def partition_ranges(spark, sf):
 
 
 @query("""SELECT l_suppkey, l_orderkey, l_linenumber, q FROM (SELECT l_suppkey, l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q,
-  coalesce(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+  coalesce(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
   FROM lineitem) WHERE b < 500""")
 def take_until_target(spark, sf):
     items = table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("q"))
-    return rank.take_until(items, ["l_suppkey"], [F.col("l_orderkey").asc(), F.col("l_linenumber").asc()], "q", 500)
+    return rank.take_until(items, ["l_suppkey"], [F.col("l_orderkey").asc(), F.col("l_linenumber").asc(), F.col("q").asc()], "q", 500)
 
 
 @query("""SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS ordinal FROM lineitem""")

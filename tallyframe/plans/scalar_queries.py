@@ -43,7 +43,7 @@ def coordinates(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", z["start"].alias("zero_start"), z["end"].alias("zero_end"), S.phase(F.col("l_orderkey")).alias("phase"), cov.alias("coverage"), (cov > 0.66).alias("complete"))
 
 
-@query("""SELECT c_custkey, CAST(round(CAST(c_acctbal AS DECIMAL(38, 12)), 1) AS DECIMAL(38, 1))::VARCHAR AS fixed FROM customer""")
+@query("""SELECT c_custkey, printf('%.1f', c_acctbal) AS fixed FROM customer""")
 def fixed_decimals(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", S.fixed_text(F.col("c_acctbal"), 1).alias("fixed"))
 
