@@ -82,7 +82,7 @@ def profile_cutoffs(lines: DataFrame) -> DataFrame:
     A model's lines are told by its NAME line: files hold one profile each.
     """
     word = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
-    keyed = lines.select("path", F.get(word, F.lit(0)).alias("k"), F.rtrim(F.lit(";"), F.get(word, F.lit(1))).alias("v")).where(F.col("k").isin("NAME", "GA", "TC", "NC"))
+    keyed = lines.select("path", F.get(word, F.lit(0)).alias("k"), F.rtrim(F.get(word, F.lit(1)), F.lit(";")).alias("v")).where(F.col("k").isin("NAME", "GA", "TC", "NC"))
     pick = lambda k: F.max(F.when(F.col("k") == k, F.col("v")))
     one = keyed.groupBy("path").agg(pick("NAME").alias("model"), *(pick(k).try_cast("double").alias(k) for k in ("GA", "TC", "NC")))
     return one.select("model", F.coalesce("GA", "TC", "NC").alias("cutoff"))
