@@ -126,7 +126,7 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, tokens: np.ndarray, c
                 order = np.argsort(first)[:size]
                 split = np.ones(size, np.int64)
                 split[heavy[order]] = -(-often[at[order][heavy[order]]] // BLOCK_ROWS)
-                salts = (np.abs(np.int64(cls >> 3)) % split).astype(np.int32)
+                salts = np.where(split > 1, 1 + np.abs(np.int64(cls >> 3)) % split, 0).astype(np.int32)  # 0: not salted
                 others = []
                 for seed in _SEEDS:
                     key = mix(s ^ np.uint64(seed)) >> np.uint64(34)
