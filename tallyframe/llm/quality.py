@@ -1,6 +1,6 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings over hashed text features.
 
-A document's score is w . x over hashed words, pairs of words and counts of its form, each text scaled to unit length. Ordered
+A document's score is w . x over hashed words, each 1 where it occurs, and shares of its form; texts are not scaled. Ordered
 thresholds c0 < c1 < ... cut the score into grades: P(grade >= j) = sigmoid(score - c_j). All grades share the weights. The model
 gives the expected grade and the tail probability P(grade >= least), by which rows are selected.
 
