@@ -31,10 +31,10 @@ def pivot_zero(df: DataFrame, key: str, column: str, values: Sequence[str], item
 
 
 def sequence_stats(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """(keys, contigs, bases, gc): sequences, characters, and G and C in either case."""
-    up = F.upper(F.coalesce(seq, F.lit("")))
-    gc = F.length(up) - F.length(F.translate(up, "GC", ""))
-    return df.groupBy(*keys).agg(F.count("*").alias("contigs"), F.sum(F.length(up)).alias("bases"), F.sum(gc).alias("gc"))
+    """(keys, contigs, bases, gc): sequences, characters, and G and C in either case. Upper case is not taken: it lengthens some letters."""
+    text = F.coalesce(seq, F.lit(""))
+    gc = F.length(text) - F.length(F.translate(text, "GCgc", ""))
+    return df.groupBy(*keys).agg(F.count("*").alias("contigs"), F.sum(F.length(text)).alias("bases"), F.sum(gc).alias("gc"))
 
 
 def conditional_counts(df: DataFrame, keys: Sequence[str], **conditions: Column) -> DataFrame:

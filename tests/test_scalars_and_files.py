@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyframe.functions import scalars as S
-from tallyframe.operators import ml, summary
+from tallyframe.operators import aggregate, ml, summary
 from tallyframe.sources import sequences, tables
 from tallyframe.streaming import progress
 
@@ -41,6 +41,12 @@ def test_sequences_and_coordinates(spark):
     assert tuple(both) == (3, 1, 1)
 
 
+def test_sequence_stats_counts_characters_as_written(spark):
+    df = spark.createDataFrame([("de", "Straße Gc"), ("de", None), ("en", "ŉ GGcc"), (None, "ﬁg")], "lang string, text string")
+    got = {r.lang: (r.contigs, r.bases, r.gc) for r in aggregate.sequence_stats(df, ["lang"], "text").collect()}
+    assert got == {"de": (2, 9, 2), "en": (1, 6, 4), None: (1, 2, 1)}
+
+
 def test_fixed_text(spark):
     assert values(spark, lambda x: S.fixed_text(x, 1), "double", 8918.05, 0.25, 0.75, -0.04, None, float("nan"), 9.96, 1e15 + 0.5) == [
         "8918.0", "0.2", "0.8", "-0.0", "", "NaN", "10.0", "1000000000000000.5",
