@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import decontaminate, jaccard_join, kd_sharding, mixing, quality
-from tallyframe.llm.common import scratch
+from tallyframe.llm.common import materialize, scratch
 from tallyframe.llm.queries import MIX, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,13 +21,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component linked at 0.8 over five-word shingles: the one with the smallest id."""
-    found = jaccard_join.jaccard_components(docs, k=5, num=80, den=100)
-    extra = found.where("component_id <> doc_id").select("doc_id").distinct()
-    once = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    kept = docs.join(extra, "doc_id", "left_anti")
-    again = kept.join(once.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(once.select("doc_id"), "doc_id", "left_anti").unionByName(again).select(docs.columns)
+    """One document of each component linked at 0.8 over five-word shingles: the one with the smallest id, rows without id last.
+
+    Texts are linked by a hash of the text, not by id, so an id's several texts are judged apart and rows without id link too. Rows
+    without shingles link with nothing and stay, but for repeats of one id and text.
+    """
+    keyed = docs.withColumn("_tf_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = jaccard_join.jaccard_components(keyed, "_tf_key", k=5, num=80, den=100).distinct()
+    texts = keyed.groupBy("_tf_key").agg(F.min("doc_id").alias("_tf_first"), F.count("*").alias("n"))
+    judged = materialize(found.join(texts, "_tf_key"), "near-copies")
+    linked = judged.where("n_shingles > 0")
+    best = linked.groupBy("component_id").agg(F.min(F.struct(F.col("_tf_first").isNull(), "_tf_first", "_tf_key")).alias("best"))
+    extra = linked.join(best, "component_id").where("_tf_key <> best._tf_key").select("_tf_key")
+    blank = F.col("n_shingles") == 0
+    several = judged.where("n > 1").select("_tf_key", "_tf_first", blank.alias("_tf_blank"))
+    kept = keyed.join(extra, "_tf_key", "left_anti")
+    copies = kept.join(several, "_tf_key").where("_tf_blank or doc_id <=> _tf_first")
+    lone = F.col("_tf_blank") & F.col("doc_id").isNull()
+    parts = (kept.join(several, "_tf_key", "left_anti"), copies.where(lone), copies.where(~lone).dropDuplicates(["doc_id", "_tf_key", "text"]))
+    return functools.reduce(DataFrame.unionByName, (p.select(docs.columns) for p in parts))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

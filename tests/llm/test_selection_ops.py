@@ -171,6 +171,24 @@ def test_pipeline_stages_one_by_one(spark, sf):
     assert sharded.columns == [*docs.columns, "size", "shard", "slot"] and sharded.count() == docs.count()
 
 
+def test_near_copies_of_repeated_and_null_ids(spark, sf):
+    base = [f"w{i}" for i in range(60)]
+    a, near, other, third = " ".join(base), " ".join([*base, "x"]), " ".join(f"v{i}" for i in range(60)), " ".join(f"u{i}" for i in range(60))
+    rows = [
+        (3, a), (5, near), (5, other), (None, a), (None, third), (None, third), (None, third + " x"), (7, "One two"), (7, "one two"), (7, "one two"),
+        (1, None), (1, None), (2, None), (None, None), (None, None), (1, " "),
+    ]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, extra int")
+    out = corpus_pipeline.drop_near_copies(spark, docs, sf)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    blank = [r for r in got if not (r[1] or "").strip()]
+    assert sorted(map(str, blank)) == sorted(map(str, [(1, None), (2, None), (None, None), (None, None), (1, " ")]))
+    full = [r for r in got if r not in blank]
+    assert len(full) == 4 and {(3, a), (5, other)} < set(full)
+    assert sorted(r[1].lower() for r in full if r[0] == 7) == ["one two"] and [r[1] in (third, third + " x") for r in full if r[0] is None] == [True]
+
+
 def test_pipeline_runs(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.count() > 0 and {"doc_id", "shard", "slot"} <= set(out.columns)
