@@ -100,6 +100,18 @@ def _needed(nx, ny, num: int, den: int):
     return -(-(num * (nx + ny)) // (num + den))
 
 
+def _bound(px: np.ndarray, py: np.ndarray, nx: int, ny: int) -> int:
+    """At most how many tokens two sets of these sizes share, by their sorted prefixes under one order.
+
+    Keys may repeat, and a key equal to a prefix's last may lie outside it too, so only keys below the last ones are matched.
+    """
+    limits = ([px[-1]] if len(px) < nx else []) + ([py[-1]] if len(py) < ny else [])
+    if limits:
+        px, py = px[px < min(limits)], py[py < min(limits)]
+    x, y = np.unique(px), np.unique(py)
+    return len(np.intersect1d(x, y, assume_unique=True)) + min(len(px) - len(x), len(py) - len(y)) + min(nx - len(px), ny - len(py))
+
+
 def _prefixes(docs: DataFrame, k: int, num: int, den: int, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
     """For each row: size, class (a hash of the set) and the prefix under each order; p1 with its rows' salts."""
     spark = docs.sparkSession
@@ -206,19 +218,13 @@ def _verified(pairs: DataFrame, table: DataFrame, reps: DataFrame, docs: DataFra
     side = lambda at: have.select(F.col("cls").alias(at), *(F.col(c).alias(f"{c}_{at}") for c in prefix))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
 
-    def bound(px, py, nx, ny, open_x, open_y) -> int:
-        limits = ([px[-1]] if open_x else []) + ([py[-1]] if open_y else [])
-        if limits:
-            px, py = px[px <= min(limits)], py[py <= min(limits)]
-        return len(np.intersect1d(px, py)) + min(nx - len(px), ny - len(py))
-
     def admit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             ok = np.zeros(len(f), bool)
             for r, (nx, ny, *arrays) in enumerate(zip(*(f[f"{c}_{at}"] for c in prefix for at in "ab"), strict=True)):
                 need = _needed(nx, ny, num, den)
                 ok[r] = den * min(nx, ny) >= num * max(nx, ny) and all(
-                    bound(x, y, nx, ny, len(x) < nx, len(y) < ny) >= need for x, y in zip(arrays[::2], arrays[1::2], strict=True)
+                    _bound(x, y, nx, ny) >= need for x, y in zip(arrays[::2], arrays[1::2], strict=True)
                 )
             yield f.loc[ok, ["a", "b"]]
 

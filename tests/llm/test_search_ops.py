@@ -1,6 +1,7 @@
 """Near duplicates, contamination and secrets against brute force."""
 
 import brute
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,16 @@ def test_salted_tokens_lose_no_link(spark, monkeypatch):
     assert got == brute.components(rows, 3, 90, 100)
 
 
+def test_prefix_bounds_hold_for_colliding_keys():
+    assert jaccard_join._bound(np.array([3, 3, 9]), np.array([3, 3, 9]), 3, 3) >= 3
+    rng = np.random.default_rng(5)
+    for _ in range(2000):
+        keys = rng.integers(0, rng.integers(2, 40), 60)  # of 60 tokens
+        x, y = (rng.permutation(60)[: rng.integers(1, 60)] for _ in "xy")
+        px, py = (np.sort(keys[s])[: rng.integers(1, len(s) + 1)] for s in (x, y))
+        assert jaccard_join._bound(px, py, len(x), len(y)) >= len(np.intersect1d(x, y))
+
+
 def test_components_of_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (102, 101)], "u long, v long")
     got = {r.node: r.comp for r in jaccard_join.components(edges).collect()}
