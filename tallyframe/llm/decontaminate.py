@@ -123,7 +123,7 @@ def proximity_matches(docs: DataFrame, term_lists: DataFrame, slop: int, id_col:
         F.sequence(F.col("lead") - slop + 1, F.col("lead")),
         lambda s: F.forall("places", lambda p: F.exists(p, lambda x: (x >= s) & (x < s + slop))),
     )
-    return joined.select("list", "id", F.element_at(first, -1).alias("start")).where("start is not null").select(
+    return joined.select("list", "id", F.try_element_at(first, F.lit(-1)).alias("start")).where("start is not null").select(
         "list", F.col("id").alias(id_col), "start", (F.col("start") + slop).alias("stop")
     ).distinct()
 

@@ -117,6 +117,23 @@ def test_proximity(spark):
     assert {(r.list, r.doc_id) for r in got} == {("q", 1), ("q", 3)}
 
 
+def test_proximity_of_three_terms(spark):
+    rng = np.random.default_rng(3)
+    texts = {i: [str(w) for w in rng.choice(list("abcdefghij"), rng.integers(1, 40), p=[0.02, 0.05, 0.08, *[0.85 / 7] * 7])] for i in range(60)}
+    texts |= {60: list("bdeadec"), 61: list("cdbda"), 62: list("edcbae")}  # one term before and one after the rarest, not within one span
+    lists, slop = {"three": ["a", "b", "c"], "four": ["a", "b", "c", "d"]}, 4
+    want = set()
+    for name, terms in lists.items():
+        rarest = min(terms, key=lambda t: (sum(w.count(t) for w in texts.values()), t))
+        for i, w in texts.items():
+            for lead in (p for p, t in enumerate(w) if t == rarest):
+                starts = [s for s in range(max(lead - slop + 1, 0), lead + 1) if set(terms) <= set(w[s : s + slop])]
+                want |= {(name, i, s, s + slop) for s in starts[-1:]}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = decontaminate.proximity_matches(docs, spark.createDataFrame(list(lists.items()), "list string, terms array<string>"), slop)
+    assert {tuple(r) for r in got.collect()} == want and {n for n, *_ in want} == set(lists)
+
+
 def test_secrets_match_brute_force(spark, sf, odd_docs, odd_rows):
     for docs, rows in ((spark.read.parquet(f"{sf}/documents.parquet"), rows_of(sf, "documents", "doc_id", "text")), (odd_docs, odd_rows)):
         got = secret_scan.scan_documents(docs).collect()
