@@ -81,11 +81,23 @@ def spans_of(text: Column, rule: Rule) -> Column:
 
 
 class BlobLedger:
-    """The pairs of blob and rule version already scanned, as Parquet in the shared folder."""
+    """The pairs of blob and rule version already scanned, as Parquet in the shared folder.
+
+    A ledger opened at a path goes on from the batches committed there; one that a broken scan left unfinished is passed over.
+    """
 
     def __init__(self, spark, path: str | None = None):
         self.spark, self.path = spark, path or scratch(spark, "blob-ledger")
-        self.batches: list[str] = []
+        jvm = spark._jvm.org.apache.hadoop.fs
+        folder = jvm.Path(self.path)
+        fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        found = sorted(int(n[6:]) for n in names if n.startswith("batch-") and n[6:].isdecimal())
+        self.batches = [b for b in map(self._batch, found) if fs.exists(jvm.Path(f"{b}/_SUCCESS"))]
+        self._next = found[-1] + 1 if found else 0
+
+    def _batch(self, number: int) -> str:
+        return f"{self.path}/batch-{number}"
 
     def table(self) -> DataFrame | None:
         return self.spark.read.parquet(*self.batches) if self.batches else None
@@ -117,7 +129,8 @@ class BlobLedger:
             for kind, (version, rank, rule) in wanted.items()
         ))
         rows = fresh.select("blob", F.explode(found).alias("f")).where("f.spans is not null").select("blob", "f.*")
-        batch = f"{self.path}/batch-{len(self.batches)}"
+        batch = self._batch(self._next)
+        self._next += 1
         rows.write.parquet(batch)  # rows whose path repeats are alike; the reader folds them
         self.batches.append(batch)
 
@@ -147,6 +160,7 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A fresh ledger: the base rules, then the later ones, each blob and rule version scanned once."""
     ledger = BlobLedger(docs.sparkSession)
+    ledger.scan(docs, BASE_RULES, id_col, text_col)
     return digest(ledger.scan(docs, BASE_RULES + LATER_RULES, id_col, text_col), id_col)
 
 

@@ -156,6 +156,27 @@ def test_ledger_scans_only_what_is_unseen(spark):
     assert again.select("blob").distinct().count() == 3
 
 
+def test_reopened_ledger_goes_on(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    docs = spark.createDataFrame([("a", "token=abcdef1"), ("b", "clean")], "path string, text string")
+    secret_scan.BlobLedger(spark, path).scan(docs)
+    (tmp_path / "ledger" / "batch-1").mkdir()  # of a scan that broke off
+    again = secret_scan.BlobLedger(spark, path)
+    more = docs.unionByName(spark.createDataFrame([("c", "api_key: 0123456789")], "path string, text string"))
+    assert {r.path: len(r.spans) for r in again.scan(more).collect()} == {"a": 1, "b": 0, "c": 1}
+    assert again.batches == [f"{path}/batch-0", f"{path}/batch-2"] and secret_scan.BlobLedger(spark, path).batches == again.batches
+    assert spark.read.parquet(again.batches[1]).select("blob").distinct().count() == 1
+
+
+def test_documents_are_scanned_by_base_rules_first(spark, monkeypatch):
+    opened = []
+    made = secret_scan.BlobLedger
+    monkeypatch.setattr(secret_scan, "BlobLedger", lambda *a: opened.append(made(*a)) or opened[-1])
+    secret_scan.scan_documents(spark.createDataFrame([(1, "token=abcdef1")], "doc_id long, text string"))
+    rules = [{r.rule for r in spark.read.parquet(b).collect()} for b in opened[0].batches]
+    assert rules == [{"assign@1", "access@1", "hex@1"}, {"private_key@1", "jwt@1"}]
+
+
 def test_secrets_of_nothing(odd_docs):
     assert secret_scan.scan_documents(odd_docs.limit(0)).count() == 0
 
