@@ -115,16 +115,22 @@ def _gzip(b: bytes, at: int) -> int | None:
 
 
 def _pdf(b: bytes, at: int) -> int | None:
-    end = b.find(b"%%EOF", at)
+    """To the last end mark before the next header, as updates append sections; to the first one if the next header comes before any."""
+    header = b.find(b"%PDF-", at + 5)
+    end = b.rfind(b"%%EOF", at, header if header >= 0 else len(b))
+    if end < 0:
+        end = b.find(b"%%EOF", at)
     return end + 5 if end >= 0 and b.find(b"startxref", at, end) >= 0 else None
 
 
 def _zip(b: bytes, at: int) -> int | None:
     end = b.find(b"PK\x05\x06", at)
-    if end < 0 or end + 22 > len(b):
-        return None
-    size, offset, note = struct.unpack_from("<IIH", b, end + 12)
-    return end + 22 + note if at + offset + size == end and end + 22 + note <= len(b) else None
+    while 0 <= end <= len(b) - 22:  # the first may be that of a stored archive
+        size, offset, note = struct.unpack_from("<IIH", b, end + 12)
+        if at + offset + size == end and end + 22 + note <= len(b):
+            return end + 22 + note
+        end = b.find(b"PK\x05\x06", end + 4)
+    return None
 
 
 def _ogg(b: bytes, at: int) -> int | None:

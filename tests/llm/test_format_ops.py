@@ -1,7 +1,9 @@
 """WARC, token ids, media and preference formatting: round trips and broken inputs."""
 
 import hashlib
+import io
 import struct
+import zipfile
 import zlib
 
 import brute
@@ -161,6 +163,21 @@ def test_sniffing_corrects_and_carves(spark):
     assert carved == {(2, "image/png"): _png(), (2, "application/gzip"): inner, (4, "image/png"): _png()}
 
 
+def test_carving_takes_whole_pdfs_and_zips():
+    automaton = media_columns._automaton()
+    first, update = b"%PDF-1.7 a startxref 0 %%EOF", b" b startxref 9 %%EOF"
+    assert media_columns.sniff(b"x" + first + update + b"y" + first, automaton) == [("application/pdf", 1, 49), ("application/pdf", 50, 78)]
+    assert media_columns.sniff(b"%PDF-1.7 " + first, automaton) == [("application/pdf", 0, 37), ("application/pdf", 9, 37)]
+    inner, outer = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("a", "text")
+    with zipfile.ZipFile(outer, "w") as z:
+        z.writestr("b.zip", inner.getvalue())
+    whole, start = outer.getvalue(), outer.getvalue().index(inner.getvalue())
+    found = media_columns.sniff(b"xx" + whole + b"yy", automaton)
+    assert found == [("application/zip", 2, 2 + len(whole)), ("application/zip", 2 + start, 2 + start + len(inner.getvalue()))]
+
+
 def test_preference_pairs(spark):
     rows = [
         (0, 0, "system", "be kind"), (0, 1, "user", "hi"), (0, 2, "assistant", "hello"), (0, 3, "user", "bye"), (0, 4, "assistant", "so long"),
