@@ -68,9 +68,8 @@ def _hash_words(a: np.ndarray) -> np.ndarray:
     return mix(sums ^ (lengths.astype(np.uint64) << np.uint64(48)))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the blank-separated words, in order; works through long texts a megabyte at a time."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+def run_hashes(data: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of bytes between blanks, in order; works through long texts a megabyte at a time."""
     if len(data) <= _CHUNK:
         return _hash_words(data)
     parts, start = [], 0
@@ -84,6 +83,19 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the blank-separated words, in order."""
+    return run_hashes(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, lengthened until it is none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
     """Distinct hashes of k consecutive words, sorted; of fewer words, their whole sequence as one."""
     words = word_hashes(text)
