@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +44,18 @@ def materialize(df: DataFrame, label: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """While it lasts, jobs hand rows to Python workers in batches of at most about that many bytes. A row is never split."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser, a bijection of uint64."""
     x = x + np.uint64(0x9E3779B97F4A7C15)

@@ -10,6 +10,7 @@ import brute
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from tallyframe.llm import media_columns, preference_chat, queries, token_store, warc
 
@@ -87,14 +88,44 @@ def _reference_tokens(rows, path):
     return out
 
 
-def test_token_shards_through_the_index(spark, sf, monkeypatch):
-    monkeypatch.setattr(token_store, "SHARD_TOKENS", 5_000)
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_token_shards_through_the_index(spark, sf, monkeypatch, broadcast):
+    monkeypatch.setattr(token_store, "BROADCAST_KEYS", 10**6 if broadcast else 0)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     path = queries.tokenizer_path()
-    got = sorted((r.id, r.start, r.n_tokens, r.crc) for r in token_store.keyed_read(docs, path).collect())
+    got = sorted((r.id, r.start, r.n_tokens, r.crc) for r in token_store.keyed_read(docs, path, shard_tokens=5_000).collect())
     assert got == _reference_tokens(sorted((r.doc_id, r.text) for r in docs.collect()), path)
 
 
+def test_tampered_indexes_and_shards_raise(spark, sf):
+    from tallyframe.llm.common import scratch
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(50)
+    shards, index = scratch(spark, "t-shards"), [scratch(spark, "t-index") for _ in range(4)]
+    contents = token_store.write_shards(docs, shards, queries.tokenizer_path(), shard_tokens=5_000)
+    keys = contents.select("id", "ordinal")
+    read = lambda path, n: token_store.read_payloads(token_store.lookup(keys, path, n, strict=True), shards, 50).collect()
+    assert len(read(index[0], token_store.build_index(contents, index[0]))) == 50
+    wrong = {
+        "not in the index": contents.where("id <> 7"),
+        "other documents": contents.withColumn("place", F.when(F.col("id") == 7, F.col("place") + 1).otherwise(F.col("place"))),
+        "than the index": contents.withColumn("n_tokens", F.when(F.col("id") == 7, F.col("n_tokens") + 1).otherwise(F.col("n_tokens"))),
+    }
+    for path, (message, told) in zip(index[1:], wrong.items(), strict=True):
+        n = token_store.build_index(told, path)
+        with pytest.raises(Exception, match=message):
+            read(path, n)
+    with pytest.raises(Exception, match="stored twice"):
+        token_store.build_index(contents.unionAll(contents.where("id = 7")), scratch(spark, "t-index"))
+
+
+def test_a_lost_shard_raises(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(50)
+    monkeypatch.setattr(token_store, "read_payloads", lambda found, path, n, f=token_store.read_payloads: f(found.where("id <> 7"), path, n))
+    with pytest.raises(ValueError, match="50 documents were written, 49 read"):
+        token_store.keyed_read(docs, queries.tokenizer_path())
+
+
 def test_token_shards_of_odd_rows(spark, odd_docs, odd_rows):
     path = queries.tokenizer_path()
     more = spark.createDataFrame([(None, "no id"), (20, "<|endoftext|> a  b \n c")], "doc_id long, text string")
@@ -111,9 +142,10 @@ def test_token_shards_of_nothing(spark, odd_docs):
 @pytest.mark.parametrize("n", [1, 2, 3, 57, 5_000])
 def test_perfect_hash_is_minimal(n):
     h = token_store.mix(np.arange(n, dtype=np.uint64))
-    d = token_store._perfect(h)
-    group = ((h >> np.uint64(32)) % np.uint64(len(d))).astype(np.int64)
-    assert sorted(token_store._slots(h, d[group], n)) == list(range(n))
+    h[-1] = h[0]  # two keys with one first hash are told apart by the second
+    g = token_store.mix(np.arange(n, dtype=np.uint64) + np.uint64(n)) | np.uint64(1)
+    d = token_store._perfect(h, g)
+    assert sorted(token_store._slots(h, g, d[token_store._group(h, len(d))], n)) == list(range(n))
 
 
 def test_unknown_keys_are_told_by_fingerprint(spark, tmp_path):
