@@ -91,10 +91,14 @@ def gc_percent(x: Column) -> Column:
 
 
 def alphabet(x: Column) -> Column:
-    """nucleotide if the letters are nearly all ACGTUN, protein if letters beyond those codes occur, else unknown."""
-    up = F.regexp_replace(F.upper(x), "[^A-Z*]", "")
-    n = F.length(up)
-    return F.when(n == 0, "unknown").when(count_of(up, "ACGTUN") >= n * 0.9, "nucleotide").when(count_of(up, "EFILPQZ*") > 0, "protein").otherwise("unknown")
+    """nucleotide or protein. Letters beyond the nucleotide codes mean protein; so do, in twelve or more telling characters, fewer than
+    three of the four bases, and bases that make up less than half of them. N and - tell nothing; without telling characters nucleotide."""
+    up = F.upper(F.coalesce(x, F.lit("")))
+    telling = F.translate(up, "N-", "")
+    n = F.length(telling)
+    kinds = sum((F.contains(telling, F.lit(base)).cast("int") for base in "ACGT"), F.lit(0))
+    protein = (F.translate(up, "ATCGRYSWKMBDHVN-", "") != "") | ((n >= 12) & (kinds < 3)) | (count_of(telling, "ACGT") * 2 < n)
+    return F.when(protein, "protein").otherwise("nucleotide")
 
 
 def stops_as_gaps(x: Column) -> Column:

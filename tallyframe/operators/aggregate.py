@@ -47,10 +47,11 @@ def medians(df: DataFrame, keys: Sequence[str], *values: str) -> DataFrame:
 
 
 def prevalence(counts: DataFrame, group: str, marker: str, genome: str, n: str) -> DataFrame:
-    """(group, marker, n_genomes, with_marker, copies): genomes of the group, those with the marker, and its copies; absent counts as 0."""
+    """(group, marker, n_genomes, with_marker, copies, mean_copy): genomes of the group, those with the marker, its copies, and these over
+    all genomes of the group, absent counting as 0."""
     genomes = counts.groupBy(group).agg(F.count_distinct(genome).alias("n_genomes"))
     present = counts.where(F.col(n) > 0).groupBy(group, marker).agg(F.count_distinct(genome).alias("with_marker"), F.sum(n).alias("copies"))
-    return present.join(genomes, group)
+    return present.join(genomes, group).withColumn("mean_copy", F.col("copies") / F.col("n_genomes"))
 
 
 def single_parent(df: DataFrame, child: str, parent: str) -> DataFrame:
@@ -87,20 +88,38 @@ def best_threshold(df: DataFrame, truth: Column, score: str, grid: Sequence[floa
     return rated.agg(F.min(F.struct((-F.col("f1")).alias("o"), F.col("threshold").alias("t"))).alias("_b")).select(F.col("_b.t").alias("threshold"), (-F.col("_b.o")).alias("f1"))
 
 
+def running_before(per: DataFrame, score: str, sums: Sequence[str], keys: Sequence[str] = (), descending: bool = False, bins: int = 256) -> DataFrame:
+    """per with before_<sum>: the sum over the rows whose score comes first, in order of score. per has one row for each score and keys.
+
+    Scores are cut into ranges at approximate quantiles; the ranges' totals are summed up first, then the rows within each range, so no
+    task holds more than a range.
+    """
+    cuts = sorted(set(per.approxQuantile(score, [i / bins for i in range(1, bins)], 0.25 / bins))) if bins > 1 else []
+    at = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)).cast("array<double>"), lambda c: c <= F.col(score)))
+    binned = per.withColumn("_bin", -at if descending else at)
+    first = lambda col, *by: W.partitionBy(*by).orderBy(col).rowsBetween(W.unboundedPreceding, -1)
+    totals = binned.groupBy(*keys, "_bin").agg(*(F.sum(c).alias(c) for c in sums))
+    ranges = first("_bin", *(keys or [F.lit(0)]))  # at most `bins` rows of each key
+    offsets = totals.select(*keys, "_bin", *(F.coalesce(F.sum(c).over(ranges), F.lit(0)).alias(f"_{c}") for c in sums))
+    within = first(F.col(score).desc() if descending else F.col(score).asc(), *keys, "_bin")
+    met = binned.join(offsets, [*keys, "_bin"])
+    return met.withColumns({f"before_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) + F.col(f"_{c}") for c in sums}).drop("_bin", *(f"_{c}" for c in sums))
+
+
 def auroc(df: DataFrame, truth: Column, score: str, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, auroc): by sums over distinct scores, ties counted half; only the distinct scores are ranked."""
     per = df.groupBy(*keys, score).agg(F.count_if(truth).alias("pos"), F.count_if(~truth).alias("neg"))
-    w = W.partitionBy(*(keys or [F.lit(0)])).orderBy(score).rowsBetween(W.unboundedPreceding, -1)
-    below = per.withColumn("_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    won = F.sum(F.col("pos") * (2 * F.col("_below") + F.col("neg")))
+    below = running_before(per, score, ["neg"], keys)
+    won = F.sum(F.col("pos") * (2 * F.col("before_neg") + F.col("neg")))
     return below.groupBy(*keys).agg(F.try_divide(won, 2 * F.sum("pos") * F.sum("neg")).alias("auroc"))
 
 
-def average_precision(df: DataFrame, truth: Column, score: str) -> DataFrame:
-    per = df.groupBy(score).agg(F.count_if(truth).alias("pos"), F.count("*").alias("n"))
-    w = W.partitionBy(F.lit(0)).orderBy(F.col(score).desc()).rowsBetween(W.unboundedPreceding, 0)
-    run = per.select("pos", F.sum("pos").over(w).alias("tp"), F.sum("n").over(w).alias("called"))
-    return run.agg(F.try_divide(F.sum(F.col("pos") * F.col("tp") / F.col("called")), F.sum("pos")).alias("average_precision"))
+def average_precision(df: DataFrame, truth: Column, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, average_precision): precision at each distinct score from the highest on, weighted by the positives there."""
+    per = df.groupBy(*keys, score).agg(F.count_if(truth).alias("pos"), F.count("*").alias("n"))
+    run = running_before(per, score, ["pos", "n"], keys, descending=True)
+    tp, called = F.col("before_pos") + F.col("pos"), F.col("before_n") + F.col("n")
+    return run.groupBy(*keys).agg(F.try_divide(F.sum(F.col("pos") * tp / called), F.sum("pos")).alias("average_precision"))
 
 
 def mean_error(df: DataFrame, truth: str, guess: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -92,9 +92,8 @@ def partition_fallback(stats: DataFrame, key: str, part: str, wanted, order: Seq
 
 
 def grid_fill(cells: DataFrame, rows: DataFrame, row: str, columns: DataFrame, column: str, fills: dict[str, Column]) -> DataFrame:
-    """Every row with every column of a small dimension (columns); missing cells get their fill."""
-    distinct = columns.agg(F.collect_list(F.struct(*columns.columns)).alias("_c"))
-    grid = rows.select(row).distinct().join(F.broadcast(distinct)).select(row, F.explode("_c").alias("_x")).select(row, "_x.*")
+    """Every row with every column of a small dimension (columns, one row a column); missing cells get their fill."""
+    grid = rows.select(row).distinct().crossJoin(columns)
     extra = [c for c in columns.columns if c != column]
     joined = grid.join(cells, [row, column], "left")
     return joined.select(row, column, *extra, *(F.coalesce(F.col(c), f).alias(c) for c, f in fills.items()))
@@ -132,8 +131,9 @@ def donors(bases: DataFrame, pool: DataFrame, key: str, family: str, order: str,
         met = bases.select(key, col).join(two, F.col(col) == F.col(on)).where(F.col(key) != F.col("_d"))
         return top_n(met, [key], rank).select(key, F.col("_d").alias(name))
 
-    firsts = top_n(slim, ["_o"], rank)
-    leaders = firsts.agg(F.array_sort(F.collect_list(F.struct((-F.col("_s") if largest else F.col("_s")).alias("s"), F.col("_d").alias("d"), F.col("_o").alias("o")))).alias("_l"))
+    # the leaders of two orders suffice: one of them is not the base's
+    leaders = top_n(slim, ["_o"], rank).orderBy(*rank).limit(2)
+    leaders = leaders.agg(F.array_sort(F.collect_list(F.struct((-F.col("_s") if largest else F.col("_s")).alias("s"), F.col("_d").alias("d"), F.col("_o").alias("o")))).alias("_l"))
     out = bases.select(key, order).join(F.broadcast(leaders)).select(key, F.try_element_at(F.filter("_l", lambda x: x["o"] != F.col(order)), F.lit(1))["d"].alias("divergent"))
     return (
         out.join(near("_f", family, "_fam"), key, "left").join(near("_o", order, "_ord"), key, "left")

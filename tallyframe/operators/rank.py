@@ -40,9 +40,12 @@ def winner_of_winners(votes: DataFrame, keys: Sequence[str], panel: str, value:
 
 
 def first_n_then_unique(df: DataFrame, query: str, subject: str, seq: str, score: str, n: int) -> DataFrame:
-    """The first n rows of each query in file order, then each subject's best score, earliest on ties."""
+    """(subject, score, query, seq): the first n rows of each query in file order, then each subject's best row over all queries.
+
+    Ties go to the first query, then to the earliest row; ordering by score, query and seq lists the subjects best first.
+    """
     capped = top_n(df, [query], [F.col(seq).asc(), F.col(subject).asc()], n)
-    return best(capped, [query, subject], [f"-{score}", seq])
+    return best(capped, [subject], [f"-{score}", query, seq])
 
 
 def best_model_split(df: DataFrame, item: str, model: str, score: str, seq: str, many: Column) -> DataFrame:

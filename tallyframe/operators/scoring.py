@@ -42,14 +42,14 @@ def tier_of(prevalence: Column, copies: Column) -> Column:
 
 
 def support(df: DataFrame, informative: str, present: str, refs: str, level: str) -> DataFrame:
-    """support_score in percent and the flag of the first caveat that holds."""
+    """support_score in percent and the flag of the first caveat that holds; the share is rounded to four digits before it is judged."""
     share = F.coalesce(F.try_divide(F.col(present) * 1.0, F.col(informative)), F.lit(0.0))
-    score = share * 0.85 + F.least(F.lit(1.0), F.col(refs) / 10.0) * 0.15
+    score = F.round(share * 0.85 + F.least(F.lit(1.0), F.col(refs) / 10.0) * 0.15, 4)
     flag = (
         F.when(F.col(level) == "unavailable", "unassigned").when(F.col(informative) == 0, "no_informative_markers").when(F.col(present) == 0, "zero_informative_hits")
         .when(score < 0.2, "low_support").when(F.col(refs) < 5, "low_reference_support").otherwise("ok")
     )
-    return df.withColumns({"support_score": score * 100, "ood_flag": flag})
+    return df.withColumns({"support_score": F.round(score * 100, 2), "ood_flag": flag})
 
 
 def shrink_to_floor(prediction: Column, first: Column, second: Column, flag: Column, support_score: Column, refs: Column) -> Column:
@@ -72,7 +72,7 @@ def gate_by_r2(r2: Column, has_model: Column) -> tuple[Column, Column]:
 
 
 def contamination_rules(df: DataFrame) -> DataFrame:
-    """Four signals, their weighted score, its flag and the strongest source.
+    """Four signals, their weighted score, its flag and the strongest source, none if the score is clean.
 
     Columns: unique_cell, total_cell, strong_cell, nonviral_pct, dom_nonviral_pct, unique_phage, total_phage, strong_phage, order_dup,
     panel_dup, second_order_pct, second_family_pct, foreign_order, foreign_family, dom_foreign_pct.
@@ -91,7 +91,7 @@ def contamination_rules(df: DataFrame) -> DataFrame:
     score = cell * 0.38 + phage * 0.12 + dup * 0.20 + blend * 0.30
     flag = F.when(score >= 45, "high").when(score >= 20, "moderate").when(score >= 8, "low").otherwise("clean")
     most = F.greatest(cell, phage, dup, blend)
-    source = F.when(most < 8, "none").when(cell == most, "cellular").when(phage == most, "phage").when(dup == most, "duplication").otherwise("viral_mixture")
+    source = F.when(score < 8, "none").when(cell == most, "cellular").when(phage == most, "phage").when(dup == most, "duplication").otherwise("viral_mixture")
     return df.withColumns({"cellular": cell, "phage": phage, "duplication": dup, "viral_mixture": blend, "score": score, "flag": flag, "source": source})
 
 
@@ -109,7 +109,7 @@ def suspicious_reason(purity: Column, classifier_on: Column, cell_markers: Colum
         .when(~classifier_on & (cell_hits >= 3) & (nonviral >= 0.5) & few, "cellular_hits")
         .when((phage_markers >= 2) & few, "phage_markers")
         .when((phage_hits >= 3) & (nonviral >= 0.5) & few, "phage_hits")
-        .when((foreign >= 2) & (foreign_share >= 0.6) & (viral_markers >= 2), "foreign_lineage")
+        .when((foreign >= 2) & (foreign_share >= 0.6) & (viral_markers >= 2), "viral_mixture")
     )
 
 
@@ -117,15 +117,17 @@ def candidate_type(reason: Column) -> Column:
     """The kind of contamination a reason stands for; 'uncertain' for the rest."""
     return (
         F.when(reason.isin("cellular_markers", "cellular_hits"), "cellular").when(reason.isin("phage_markers", "phage_hits"), "phage")
-        .when(reason == "foreign_lineage", "mixed_viral").otherwise("uncertain")
+        .when(reason == "viral_mixture", "mixed_viral").otherwise("uncertain")
     )
 
 
 def contamination_type(estimate: Column, model_threshold: Column, coherent: Column, viral_contigs: Column, source: Column) -> Column:
+    """A missing estimate or threshold counts as 0, a NaN estimate is uncertain, as are sources that are blank, none or unknown."""
+    value, floor = F.coalesce(estimate, F.lit(0.0)), F.greatest(F.lit(10.0), F.coalesce(model_threshold, F.lit(0.0)))
+    scattered = (source == "viral_mixture") & (F.coalesce(viral_contigs, F.lit(0)) >= 3)
     return (
-        F.when(F.isnan(estimate) | estimate.isNull(), "uncertain").when(estimate < F.greatest(F.lit(10.0), model_threshold), "clean").when(coherent >= 1, "cellular")
-        .when((source == "viral_mixture") & (coherent == 0) & (viral_contigs >= 3), "uncertain")
-        .otherwise(F.when(source == "viral_mixture", "mixed_viral").when(source == "none", "uncertain").otherwise(source))
+        F.when(F.isnan(value), "uncertain").when(value < floor, "clean").when(F.coalesce(coherent, F.lit(0)) >= 1, "cellular").when(scattered, "uncertain")
+        .when(source == "viral_mixture", "mixed_viral").when(source.isin("cellular", "phage", "duplication"), source).otherwise("uncertain")
     )
 
 
@@ -137,13 +139,13 @@ def marker_weight(p: Column, strategy: str) -> Column:
 
 
 def weighted_completeness(df: DataFrame, keys: list[str], weight: str, present: str) -> DataFrame:
-    """(keys, completeness, coverage, confidence) in percent; the confidence joins coverage with evenness of the weights."""
+    """(keys, completeness, coverage, confidence) in percent; the confidence joins coverage with evenness of all expected weights."""
     w, here = F.col(weight), F.col(present)
     got = F.sum(F.when(here, w).otherwise(0.0))
-    spread = F.coalesce(F.try_divide(F.stddev_pop(F.when(here, w)), F.avg(F.when(here, w))), F.lit(0.0))
+    even = F.when(F.avg(w) > 0, clip(1 - F.stddev_pop(w) / F.avg(w), 0, 1)).otherwise(0.0)
     coverage = F.count_if(here) / F.count("*")
-    agg = df.groupBy(*keys).agg((F.coalesce(F.try_divide(got, F.sum(w)), F.lit(0.0)) * 100).alias("completeness"), coverage.alias("coverage"), spread.alias("_spread"))
-    return agg.select(*keys, "completeness", (F.col("coverage") * 100).alias("coverage"), ((F.col("coverage") * 0.7 + clip(1 - F.col("_spread"), 0, 1) * 0.3) * 100).alias("confidence"))
+    agg = df.groupBy(*keys).agg(F.when(F.sum(w) > 0, got / F.sum(w) * 100).otherwise(0.0).alias("completeness"), coverage.alias("coverage"), even.alias("_even"))
+    return agg.select(*keys, "completeness", (F.col("coverage") * 100).alias("coverage"), ((F.col("coverage") * 0.7 + F.col("_even") * 0.3) * 100).alias("confidence"))
 
 
 def adaptive_scale(df: DataFrame, keys: list[str], weight: str, least_rows: int = 5) -> DataFrame:

@@ -75,11 +75,21 @@ def ancestors(edges: DataFrame) -> DataFrame:
 
 
 def patristic(edges: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(tree, a, b, dist) for leaves left(tree, leaf) and right(tree, leaf): through the ancestor that makes the path shortest."""
-    up = ancestors(edges).join(edges.where("leaf is not null").select("tree", "node", "leaf"), ["tree", "node"])
-    side = lambda who, name: up.join(who.select("tree", "leaf"), ["tree", "leaf"]).select("tree", "ancestor", F.col("leaf").alias(name), F.col("dist").alias(f"d_{name}"))
-    met = side(left, "a").join(side(right, "b"), ["tree", "ancestor"]).where("a <> b")
-    return met.groupBy("tree", "a", "b").agg(F.min(F.col("d_a") + F.col("d_b")).alias("dist"))
+    """(tree, a, b, dist) for leaves left(tree, leaf) and right(tree, leaf).
+
+    Two leaves meet at the one node which they reach over different children, so each pair is made once.
+    """
+    leaves = edges.where("leaf is not null").select("tree", "node", "leaf")
+    step = edges.where("parent is not null").select("tree", F.col("node").alias("via"), F.col("parent").alias("meet"), "length")
+    below = ancestors(edges).select("tree", "node", F.col("ancestor").alias("via"), "dist")
+
+    def side(who: DataFrame, name: str) -> DataFrame:
+        mine = leaves.join(who.select("tree", "leaf"), ["tree", "leaf"])
+        up = below.join(mine, ["tree", "node"]).join(step, ["tree", "via"])
+        return up.select("tree", "meet", F.col("via").alias(f"v_{name}"), F.col("leaf").alias(name), (F.col("dist") + F.col("length")).alias(f"d_{name}"))
+
+    met = side(left, "a").join(side(right, "b"), ["tree", "meet"]).where("v_a <> v_b")
+    return met.select("tree", "a", "b", (F.col("d_a") + F.col("d_b")).alias("dist"))
 
 
 def nearest_reference(distances: DataFrame) -> DataFrame:
@@ -96,15 +106,36 @@ def nearest_genomes(distances: DataFrame, genome: str, k: int) -> DataFrame:
 
 def query_clades(edges: DataFrame, queries: DataFrame) -> DataFrame:
     """(tree, node, members, size): the maximal clades whose leaves are all queries(tree, leaf)."""
+    members = _clade_members(edges, queries)
+    return members.groupBy("tree", "node").agg(F.array_join(F.array_sort(F.collect_list("leaf")), ";").alias("members"), F.count("*").cast("int").alias("size"))
+
+
+def _clade_members(edges: DataFrame, queries: DataFrame) -> DataFrame:
+    """(tree, node, leaf, at) of the maximal clades of queries: at is the leaf's own node. Names are only moved for these clades."""
     leaves = edges.where("leaf is not null").select("tree", "node", "leaf")
     marked = leaves.join(queries.select("tree", "leaf", F.lit(True).alias("q")), ["tree", "leaf"], "left").withColumn("q", F.coalesce("q", F.lit(False)))
-    under = ancestors(edges).join(marked, ["tree", "node"]).groupBy("tree", "ancestor").agg(
-        F.bool_and("q").alias("pure"), F.array_sort(F.collect_list("leaf")).alias("members")
-    )
-    tagged = edges.select("tree", "node", "parent").join(under.withColumnRenamed("ancestor", "node"), ["tree", "node"])
-    above = under.select(F.col("tree").alias("_t"), F.col("ancestor").alias("_p"), F.col("pure").alias("_pure"))
-    top = tagged.join(above, (F.col("tree") == F.col("_t")) & (F.col("parent") == F.col("_p")), "left")
-    return top.where("pure and not coalesce(_pure, false)").select("tree", "node", F.array_join("members", ";").alias("members"), F.size("members").alias("size"))
+    up = ancestors(edges)
+    pure = up.join(marked.select("tree", "node", "q"), ["tree", "node"]).groupBy("tree", F.col("ancestor").alias("node")).agg(F.bool_and("q").alias("pure")).where("pure")
+    above = pure.select("tree", F.col("node").alias("parent"))
+    top = edges.select("tree", "node", F.coalesce("parent", F.lit(-1)).alias("parent")).join(pure, ["tree", "node"], "left_semi").join(above, ["tree", "parent"], "left_anti")
+    inside = up.join(top.select("tree", F.col("node").alias("ancestor")), ["tree", "ancestor"])
+    return inside.join(leaves, ["tree", "node"]).select("tree", F.col("ancestor").alias("node"), "leaf", F.col("node").alias("at"))
+
+
+def clade_spread(edges: DataFrame, queries: DataFrame) -> DataFrame:
+    """(tree, node, mean_dist, pairs): the mean distance between the members of each maximal clade of queries, 0 for a lone member.
+
+    An edge with k of a clade's m leaves below it lies on the paths of k * (m - k) pairs, so no pair is made.
+    """
+    members = _clade_members(edges, queries)
+    sizes = members.groupBy("tree", "node").agg(F.count("*").alias("m"))
+    below = ancestors(edges).select("tree", F.col("node").alias("at"), F.col("ancestor").alias("edge"))
+    parts = members.join(below, ["tree", "at"]).groupBy("tree", "node", "edge").agg(F.count("*").alias("k"))
+    lengths = edges.select("tree", F.col("node").alias("edge"), F.coalesce("length", F.lit(0.0)).alias("length"))
+    # edges at or above the clade's node have all leaves below them and add nothing
+    sums = parts.join(sizes, ["tree", "node"]).where("k < m").join(lengths, ["tree", "edge"]).groupBy("tree", "node").agg(F.sum(F.col("length") * F.col("k") * (F.col("m") - F.col("k"))).alias("sum"))
+    pairs = F.expr("m * (m - 1) div 2")
+    return sizes.join(sums, ["tree", "node"], "left").select("tree", "node", F.coalesce(F.try_divide(F.coalesce("sum", F.lit(0.0)), pairs), F.lit(0.0)).alias("mean_dist"), pairs.alias("pairs"))
 
 
 def mean_pairwise(distances: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tallyframe.functions.scalars import fold_key, normal_placeholder
 from tallyframe.operators.rank import best, winner_of_winners
+from tallyframe.operators.staging import staged
 
 LEVELS = ("domain", "phylum", "class", "order", "family", "genus", "species")
 
@@ -39,31 +42,34 @@ def hierarchical_consensus(votes: DataFrame, query: str, panel: str, ranks: Sequ
     """(query, majority, strict, confidence) over lineage_votes().
 
     Rank by rank the winner across panels extends the prefix, until support is below the floor; lower ranks then stay blank. The strict
-    lineage follows as long as a rank's votes under the prefix are unanimous.
+    lineage follows as long as a rank's votes under the prefix are unanimous. The votes are written once; after each rank the winners
+    so far, one row a query, are written and meet the votes by query, so that a query's votes are only ever aggregated, never sorted
+    in one task.
     """
     usual, needed = floors(False), floors(fast)
-    by = lambda *keys: W.partitionBy(query, *keys)  # noqa: E731 - every window follows the one exchange by query
-    now = votes.withColumns({"_alive": F.lit(True), "_row": F.row_number().over(by(panel).orderBy(*ranks))})
+    votes = staged(votes, "votes")
+    state = votes.select(query).distinct()
     for i, rank in enumerate(ranks):
-        votes_here = F.col("_alive") & (F.trim(rank) != "")
-        now = now.withColumn("_n", F.sum(F.when(votes_here, F.col("n"))).over(by(panel, rank)))
-        in_panel = F.when(votes_here, F.struct((-F.col("_n")).alias("n"), F.col(rank).alias("v")))
-        now = now.withColumn("_w", F.min(in_panel).over(by(panel))["v"])
-        one = (F.col("_row") == 1) & F.col("_w").isNotNull()  # a row speaks for its panel
-        now = now.withColumn("_s", F.sum(F.when(one, 1)).over(by("_w")))
-        across = F.min(F.when(one, F.struct((-F.col("_s")).alias("s"), F.col("_w").alias("v")))).over(by())
-        value = F.when(votes_here, F.col(rank))
-        now = now.withColumns({
-            "_top": across, f"t{i}": F.sum(F.when(one, 1)).over(by()), f"k{i}": F.when(F.min(value).over(by()) == F.max(value).over(by()), 1).otherwise(2),
-        })
-        now = now.withColumns({f"v{i}": F.col("_top.v"), f"s{i}": -F.col("_top.s")})
-        now = now.withColumn("_alive", F.coalesce(F.col("_alive") & (F.col(f"s{i}") >= needed[i]) & (F.col(rank) == F.col(f"v{i}")), F.lit(False)))
-    out = now.groupBy(query).agg(*(F.max(f"{c}{i}").alias(f"{c}{i}") for i in range(len(ranks)) for c in "vstk"))
+        alive = votes
+        if i:
+            prefix = state.where(F.col(f"s{i - 1}") >= needed[i - 1]).select(F.col(query).alias("_q"), *(f"v{j}" for j in range(i)))
+            same = [F.col(ranks[j]) == F.col(f"v{j}") for j in range(i)]
+            alive = votes.join(prefix, functools.reduce(Column.__and__, same, F.col(query) == F.col("_q")), "left_semi")
+        counts = alive.where(F.trim(rank) != "").groupBy(query, panel, rank).agg(F.sum("n").alias("n"))
+        panels = counts.groupBy(query, panel).agg(F.min(F.struct((-F.col("n")).alias("o"), F.col(rank).alias("v"))).alias("t"), F.min(rank).alias("lo"), F.max(rank).alias("hi"))
+        winners = panels.groupBy(query, F.col("t.v").alias("v")).agg(F.count("*").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        top = winners.groupBy(query).agg(F.min(F.struct((-F.col("s")).alias("o"), "v")).alias("t"), F.sum("s").alias(f"t{i}"), (F.min("lo") == F.max("hi")).alias(f"k{i}"))
+        won = top.select(query, F.col("t.v").alias(f"v{i}"), (-F.col("t.o")).alias(f"s{i}"), f"t{i}", f"k{i}")
+        state = staged(state.join(won, query, "left"), f"consensus-{i}")
+        if i + 1 < len(ranks) and state.where(F.col(f"s{i}") >= needed[i]).isEmpty():
+            rest = {f"{c}{j}": F.lit(None).cast(t) for j in range(i + 1, len(ranks)) for c, t in (("v", "string"), ("s", "long"), ("t", "long"), ("k", "boolean"))}
+            state = state.withColumns(rest)
+            break
     ok = [F.coalesce(F.col(f"s{i}") >= needed[i], F.lit(False)) for i in range(len(LEVELS))]
     strict, majority, strictly = F.lit(True), [], []
     for i, level in enumerate(LEVELS):
         blank, name = F.lit(f"{level[0]}_"), label(level, F.col(f"v{i}"))
-        strict = strict & ok[i] & (F.coalesce(f"k{i}", F.lit(2)) == 1)
+        strict = strict & ok[i] & F.coalesce(f"k{i}", F.lit(False))
         majority.append(F.when(ok[i], name).otherwise(blank))
         strictly.append(F.when(strict, name).otherwise(blank))
     none = F.coalesce(F.col("t0"), F.lit(0)) == 0
@@ -74,7 +80,7 @@ def hierarchical_consensus(votes: DataFrame, query: str, panel: str, ranks: Sequ
     for i in range(len(LEVELS)):
         if needed[i] < usual[i]:
             reduced = reduced | (ok[i] & (F.col(f"s{i}") < usual[i]))
-    return out.select(
+    return state.select(
         query, F.concat_ws(";", *majority).alias("majority"), F.concat_ws(";", *strictly).alias("strict"), confidence(none, low, reduced).alias("confidence")
     )
 
@@ -102,12 +108,17 @@ def rank_counts(votes: DataFrame, query: str, ranks: Sequence[str], domain: str
     return flat.groupBy(query, "p.level", "p.taxon").agg(F.sum("n").alias("n"))
 
 
-def tally(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n", fold_at: int = 5) -> DataFrame:
-    """(keys, tally): 'taxon:n(pp.pp%)' by n descending, then taxon; shares of fold_at percent or less fold to domain__other."""
-    total = F.sum(n).over(W.partitionBy(*keys))
-    folded = F.when(F.instr(value, "__") > 0, F.concat(F.element_at(F.split(value, "__"), 1), F.lit("__other"))).otherwise(F.concat(F.col(value), F.lit("_other")))
-    named = counts.withColumn("_total", total).withColumn(value, F.when(F.col(n) * 100 <= F.col("_total") * fold_at, folded).otherwise(F.col(value)))
-    summed = named.groupBy(*keys, value).agg(F.sum(n).alias("n"), F.max("_total").alias("_total"))
+def tally(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n", fold_at: int = 5, level: str | None = None) -> DataFrame:
+    """(keys, tally): 'taxon:n(pp.pp%)' by n descending, then taxon; shares of fold_at percent or less fold to their domain's other.
+
+    Rows whose `level` is domain are counted by domain and never folded.
+    """
+    top = F.col(level) == "domain" if level else F.lit(False)
+    named = counts.withColumn(value, F.when(top, F.substring_index(value, "__", 1)).otherwise(normal_placeholder(F.col(value))))
+    named = named.groupBy(*keys, *([level] if level and level not in keys else []), value).agg(F.sum(n).alias("n"))
+    named = named.withColumn("_total", F.sum("n").over(W.partitionBy(*keys)))
+    minor = ~top & (F.col("n") * 100 <= F.col("_total") * fold_at)
+    summed = named.withColumn(value, F.when(minor, fold_key(F.col(value))).otherwise(F.col(value))).groupBy(*keys, value).agg(F.sum("n").alias("n"), F.max("_total").alias("_total"))
     share = F.round((F.col("n") * 100).cast("decimal(20,0)") / F.col("_total").cast("decimal(20,0)"), 2).cast("decimal(20,2)")
     item = F.concat(F.col(value), F.lit(":"), F.col("n").cast("string"), F.lit("("), share.cast("string"), F.lit("%)"))
     listed = summed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col(value).alias("v"), item.alias("s")))).alias("_l"))

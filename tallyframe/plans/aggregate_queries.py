@@ -32,10 +32,10 @@ def model_pivot(spark, sf):
     return aggregate.pivot_zero(hits(spark, sf), "query", "model", _PANEL, "protein")
 
 
-@query("""SELECT source, count(*) AS contigs, CAST(sum(length(text)) AS BIGINT) AS bases, CAST(sum(length(text) - length(translate(upper(text), 'GC', ''))) AS BIGINT) AS gc
-FROM documents WHERE lang = 'en' GROUP BY source""")
+@query("""SELECT source, count(*) AS contigs, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS bases, CAST(sum(length(coalesce(text, '')) - length(translate(coalesce(text, ''), 'GCgc', ''))) AS BIGINT) AS gc
+FROM documents GROUP BY source""")
 def sequence_totals(spark, sf):
-    return aggregate.sequence_stats(table(spark, sf, "documents").where("lang = 'en'"), ["source"], "text")
+    return aggregate.sequence_stats(table(spark, sf, "documents"), ["source"], "text")
 
 
 @query(f"""WITH {HITS} SELECT protein, count(*) AS n, count(*) FILTER (seq_score >= 5000000) AS strong, count(*) FILTER (model LIKE 'Brand#1%') AS cellular, count(*) FILTER (model LIKE 'Brand#2%' AND dom_score >= 25) AS phage
@@ -64,7 +64,7 @@ def prevalence(spark, sf):
     return aggregate.prevalence(counts, "grp", "marker", "genome", "n")
 
 
-@query(f"WITH {_PREV} SELECT grp, marker, n_genomes, with_marker, copies FROM prev")
+@query(f"WITH {_PREV} SELECT grp, marker, n_genomes, with_marker, copies, copies / n_genomes AS mean_copy FROM prev")
 def marker_prevalence(spark, sf):
     return prevalence(spark, sf)
 

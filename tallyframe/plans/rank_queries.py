@@ -16,7 +16,7 @@ def top_hits_per_query(spark, sf):
 @query(f"""WITH {HITS}, capped AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY query ORDER BY protein, seq, model) AS rn FROM hits) WHERE rn <= 50)
 SELECT query, model, seq_score, place FROM (SELECT query, model, seq_score, protein * 8 + seq AS place,
-  row_number() OVER (PARTITION BY query, model ORDER BY seq_score DESC, protein * 8 + seq) AS k FROM capped) WHERE k = 1""")
+  row_number() OVER (PARTITION BY model ORDER BY seq_score DESC, query, protein * 8 + seq) AS k FROM capped) WHERE k = 1""")
 def first_hits_then_best_subject(spark, sf):
     h = hits(spark, sf).withColumn("place", F.col("protein") * 8 + F.col("seq"))
     return rank.first_n_then_unique(h, "query", "model", "place", "seq_score", 50)

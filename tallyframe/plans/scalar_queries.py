@@ -20,9 +20,9 @@ def safe_names(spark, sf):
     return table(spark, sf, "pages").select("page_id", S.safe_name(F.col("url")).alias("name"))
 
 
-@query("""SELECT doc_id, length(text) - length(translate(text, 'ACGT', '')) AS n_acgt, coalesce((length(text) - length(translate(upper(text), 'GC', ''))) * 100.0 / nullif(length(text), 0), 0.0) AS gc FROM documents WHERE lang = 'en'""")
+@query("""SELECT doc_id, length(text) - length(translate(text, 'ACGT', '')) AS n_acgt, coalesce((length(text) - length(translate(text, 'GCgc', ''))) * 100.0 / nullif(length(text), 0), 0.0) AS gc FROM documents""")
 def character_counts(spark, sf):
-    d = table(spark, sf, "documents").where("lang = 'en'")
+    d = table(spark, sf, "documents")
     return d.select("doc_id", S.count_of(F.col("text"), "ACGT").alias("n_acgt"), S.gc_percent(F.col("text")).alias("gc"))
 
 
@@ -104,3 +104,13 @@ def marker_scan(spark, sf):
 def panel_routing(spark, sf):
     p = F.col("o_orderpriority")
     return table(spark, sf, "orders").select("o_orderkey", F.when(F.startswith(p, F.lit("1")), "first").when(F.startswith(p, F.lit("2")) | F.startswith(p, F.lit("3")), "second").otherwise("rest").alias("panel"))
+
+
+@query("""WITH s AS (SELECT p_partkey, repeat(substr('acgtNRYSWKMBDHVNELPQAGAGAG-', CAST(p_partkey % 24 + 1 AS BIGINT), CAST(1 + p_size % 5 AS BIGINT)), CAST(p_partkey % 7 AS BIGINT)) AS seq FROM part),
+u AS (SELECT p_partkey, upper(seq) AS u, replace(replace(upper(seq), 'N', ''), '-', '') AS inf FROM s), n AS (SELECT *, length(inf) AS n, length(inf) - length(translate(inf, 'ACGT', '')) AS base,
+  (contains(inf, 'A'))::INT + (contains(inf, 'C'))::INT + (contains(inf, 'G'))::INT + (contains(inf, 'T'))::INT AS kinds FROM u)
+SELECT p_partkey, CASE WHEN translate(u, 'ATCGRYSWKMBDHVN-', '') <> '' THEN 'protein' WHEN n = 0 THEN 'nucleotide' WHEN n >= 12 AND kinds < 3 THEN 'protein' WHEN base * 2 >= n THEN 'nucleotide' ELSE 'protein' END AS kind FROM n""")
+def sequence_alphabet(spark, sf):
+    k = F.col("p_partkey")
+    seq = F.repeat(F.substr(F.lit("acgtNRYSWKMBDHVNELPQAGAGAG-"), (k % 24 + 1).cast("int"), (F.col("p_size") % 5 + 1).cast("int")), (k % 7).cast("int"))
+    return table(spark, sf, "part").select("p_partkey", S.alphabet(seq).alias("kind"))

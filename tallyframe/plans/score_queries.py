@@ -38,7 +38,7 @@ def _signals(spark, sf):
   least(1.3 * greatest(second_order_pct - 10, 0) + 0.8 * greatest(second_family_pct - 15, 0) + 5 * foreign_order + 2.5 * foreign_family + (CASE WHEN foreign_order >= 3 THEN 1 ELSE 0 END) * 0.15 * dom_foreign_pct, 100) AS mix FROM inp),
 r AS (SELECT *, 0.38 * cell + 0.12 * phage_ + 0.2 * dup_ + 0.3 * mix AS sc, greatest(cell, phage_, dup_, mix) AS top FROM s)
 SELECT query, CAST(round(sc * 10000) AS BIGINT) AS score, CASE WHEN sc >= 45 THEN 'high' WHEN sc >= 20 THEN 'moderate' WHEN sc >= 8 THEN 'low' ELSE 'clean' END AS flag,
-  CASE WHEN top < 8 THEN 'none' WHEN cell = top THEN 'cellular' WHEN phage_ = top THEN 'phage' WHEN dup_ = top THEN 'duplication' ELSE 'viral_mixture' END AS source FROM r""")
+  CASE WHEN sc < 8 THEN 'none' WHEN cell = top THEN 'cellular' WHEN phage_ = top THEN 'phage' WHEN dup_ = top THEN 'duplication' ELSE 'viral_mixture' END AS source FROM r""")
 def contamination_rules(spark, sf):
     return scoring.contamination_rules(_signals(spark, sf)).select("query", F.round(F.col("score") * 10000).cast("long").alias("score"), "flag", "source")
 
@@ -66,8 +66,8 @@ def contig_purity(spark, sf):
 
 @query(f"""WITH {_CONTIGS}, p AS (SELECT *, {_PURITY} AS purity FROM con), r AS (SELECT *, CASE WHEN purity = 'cellular_coherent' THEN 'cellular_coherent_lineage'
   WHEN NOT n >= 5 AND cell >= 2 THEN 'cellular_markers' WHEN NOT n >= 5 AND frn >= 3 AND cell / n >= 0.5 AND viral <= 1 THEN 'cellular_hits' WHEN phage >= 2 AND viral <= 1 THEN 'phage_markers'
-  WHEN frn >= 3 AND cell / n >= 0.5 AND viral <= 1 THEN 'phage_hits' WHEN frn >= 2 AND frn / n >= 0.6 AND viral >= 2 THEN 'foreign_lineage' END AS reason FROM p)
-SELECT contig, reason, CASE WHEN reason IN ('cellular_markers', 'cellular_hits') THEN 'cellular' WHEN reason IN ('phage_markers', 'phage_hits') THEN 'phage' WHEN reason = 'foreign_lineage' THEN 'mixed_viral' ELSE 'uncertain' END AS kind
+  WHEN frn >= 3 AND cell / n >= 0.5 AND viral <= 1 THEN 'phage_hits' WHEN frn >= 2 AND frn / n >= 0.6 AND viral >= 2 THEN 'viral_mixture' END AS reason FROM p)
+SELECT contig, reason, CASE WHEN reason IN ('cellular_markers', 'cellular_hits') THEN 'cellular' WHEN reason IN ('phage_markers', 'phage_hits') THEN 'phage' WHEN reason = 'viral_mixture' THEN 'mixed_viral' ELSE 'uncertain' END AS kind
 FROM r WHERE reason IS NOT NULL""")
 def suspicious_contigs(spark, sf):
     c = _contigs(spark, sf)
@@ -76,15 +76,15 @@ def suspicious_contigs(spark, sf):
     return c.select("contig", reason.alias("reason")).where("reason is not null").withColumn("kind", scoring.candidate_type(F.col("reason")))
 
 
-@query("""SELECT o_orderkey, CASE WHEN e IS NULL THEN 'uncertain' WHEN e < greatest(10, t) THEN 'clean' WHEN coh >= 1 THEN 'cellular' WHEN src = 'viral_mixture' AND vir >= 3 THEN 'uncertain'
-  WHEN src = 'viral_mixture' THEN 'mixed_viral' WHEN src = 'none' THEN 'uncertain' ELSE src END AS kind
-FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE (o_orderkey % 60) * 1.0 END AS e, (o_custkey % 20) * 1.0 AS t, o_custkey % 3 = 0 AS c3, CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 0 END AS coh, o_custkey % 6 AS vir,
-  CASE o_orderkey % 4 WHEN 0 THEN 'viral_mixture' WHEN 1 THEN 'none' WHEN 2 THEN 'phage' ELSE 'cellular' END AS src FROM orders)""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 AND o_orderkey % 11 <> 0 THEN 'uncertain' WHEN coalesce(e, 0) < greatest(10, coalesce(t, 0)) THEN 'clean' WHEN coh >= 1 THEN 'cellular' WHEN src = 'viral_mixture' AND vir >= 3 THEN 'uncertain'
+  WHEN src = 'viral_mixture' THEN 'mixed_viral' WHEN src IN ('cellular', 'phage', 'duplication') THEN src ELSE 'uncertain' END AS kind
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE (o_orderkey % 60) * 1.0 END AS e, CASE WHEN o_custkey % 17 > 0 THEN (o_custkey % 20) * 1.0 END AS t, o_custkey % 3 = 0 AS c3, CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 0 END AS coh, o_custkey % 6 AS vir,
+  CASE o_orderkey % 6 WHEN 0 THEN 'viral_mixture' WHEN 1 THEN 'none' WHEN 2 THEN 'phage' WHEN 3 THEN 'duplication' WHEN 4 THEN 'soil' ELSE 'cellular' END AS src FROM orders)""")
 def contamination_kind(spark, sf):
     k, u = F.col("o_orderkey"), F.col("o_custkey")
-    e = F.when(k % 11 != 0, (k % 60) * 1.0)
-    src = F.when(k % 4 == 0, "viral_mixture").when(k % 4 == 1, "none").when(k % 4 == 2, "phage").otherwise("cellular")
-    kind = scoring.contamination_type(e.cast("double"), ((u % 20) * 1.0).cast("double"), F.when(u % 3 == 0, 1).otherwise(0), u % 6, src)
+    e = F.when(k % 11 == 0, F.lit(None)).when(k % 13 == 0, F.lit(float("nan"))).otherwise((k % 60) * 1.0)
+    src = F.element_at(F.array(*map(F.lit, ("viral_mixture", "none", "phage", "duplication", "soil", "cellular"))), (k % 6 + 1).cast("int"))
+    kind = scoring.contamination_type(e.cast("double"), F.when(u % 17 > 0, (u % 20) * 1.0).cast("double"), F.when(u % 3 == 0, 1).otherwise(0), u % 6, src)
     return table(spark, sf, "orders").select("o_orderkey", kind.alias("kind"))
 
 
@@ -97,11 +97,11 @@ def order_completeness(spark, sf):
     return scoring.order_completeness(s, "present", "expected", "hits", "mean").select("q", "raw_completeness", "duplication", "normalised")
 
 
-@query(f"""WITH {_PREV}, t AS (SELECT *, with_marker / n_genomes AS p, copies / with_marker AS c FROM prev)
+@query(f"""WITH {_PREV}, t AS (SELECT *, with_marker / n_genomes AS p, copies / n_genomes AS c FROM prev)
 SELECT grp, marker, CASE WHEN p >= 0.9 AND c <= 1.2 THEN 'core' WHEN p >= 0.65 AND p < 0.9 AND c <= 1.5 THEN 'shared' WHEN p >= 0.5 AND p < 0.65 THEN 'accessory' END AS tier FROM t""")
 def marker_tiers(spark, sf):
     t = prevalence(spark, sf)
-    return t.select("grp", "marker", scoring.tier_of(F.col("with_marker") / F.col("n_genomes"), F.col("copies") / F.col("with_marker")).alias("tier"))
+    return t.select("grp", "marker", scoring.tier_of(F.col("with_marker") / F.col("n_genomes"), F.col("mean_copy")).alias("tier"))
 
 
 _TIERS = """tiers AS (SELECT l_orderkey AS k, count(*) FILTER (l_linenumber <= 3) AS core_count, count(*) FILTER (l_linenumber <= 3 AND l_quantity >= 20) AS core_present,
@@ -125,7 +125,7 @@ def tier_scores(spark, sf):
 
 
 _SUPPORT = f"""{_TIERS}, sup AS (SELECT k, core_count + shared_count AS inf, core_present + shared_present AS pre, refs, CASE WHEN k % 13 = 0 THEN 'unavailable' ELSE 'order' END AS lvl FROM tiers),
-sco AS (SELECT *, coalesce(pre / nullif(inf, 0), 0) * 0.85 + least(1, refs / 10) * 0.15 AS s FROM sup),
+sco AS (SELECT *, CAST(round(CAST(coalesce(pre / nullif(inf, 0), 0) * 0.85 + least(1, refs / 10) * 0.15 AS DECIMAL(38, 18)), 4) AS DOUBLE) AS s FROM sup),
 flg AS (SELECT *, CASE WHEN lvl = 'unavailable' THEN 'unassigned' WHEN inf = 0 THEN 'no_informative_markers' WHEN pre = 0 THEN 'zero_informative_hits' WHEN s < 0.2 THEN 'low_support' WHEN refs < 5 THEN 'low_reference_support' ELSE 'ok' END AS flag FROM sco)"""
 
 
@@ -136,9 +136,9 @@ def _support(spark, sf):
     return scoring.support(t, "inf", "pre", "refs", "lvl")
 
 
-@query(f"WITH {_SUPPORT} SELECT k, CAST(round(s * 1e6) AS BIGINT) AS support, flag FROM flg")
+@query(f"WITH {_SUPPORT} SELECT k, CAST(round(s * 1e4) AS BIGINT) AS support, flag FROM flg")
 def support_flags(spark, sf):
-    return _support(spark, sf).select("k", F.round(F.col("support_score") * 1e4).cast("long").alias("support"), F.col("ood_flag").alias("flag"))
+    return _support(spark, sf).select("k", F.round(F.col("support_score") * 100).cast("long").alias("support"), F.col("ood_flag").alias("flag"))
 
 
 def _shrink_sql(a, b, c):
@@ -174,7 +174,7 @@ def marker_weights(spark, sf):
 
 
 @query(f"""WITH {_PREV}, w AS (SELECT grp, with_marker * 1.0 AS w, copies % 3 > 0 AS here FROM prev), a AS (SELECT grp, sum(CASE WHEN here THEN w ELSE 0 END) / sum(w) AS c, count(*) FILTER (here) / count(*) AS cov,
-  coalesce(stddev_pop(w) FILTER (here) / nullif(avg(w) FILTER (here), 0), 0) AS sp FROM w GROUP BY grp)
+  CASE WHEN avg(w) > 0 THEN stddev_pop(w) / avg(w) ELSE 1 END AS sp FROM w GROUP BY grp)
 SELECT grp, CAST(round(c * 1e8) AS BIGINT) AS completeness, CAST(round(cov * 1e8) AS BIGINT) AS coverage, CAST(round(1e8 * (0.7 * cov + 0.3 * least(greatest(1 - sp, 0), 1))) AS BIGINT) AS confidence FROM a""")
 def weighted_completeness(spark, sf):
     w = prevalence(spark, sf).select("grp", (F.col("with_marker") * 1.0).cast("double").alias("w"), (F.col("copies") % 3 > 0).alias("here"))

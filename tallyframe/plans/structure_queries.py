@@ -61,10 +61,15 @@ def query_only_clades(spark, sf):
     return tree.query_clades(e, e.where("leaf is not null and node % 3 > 0").select("tree", "leaf"))
 
 
-@query(f"""WITH {_DIST} SELECT tree, avg(dist) AS mean_dist, count(*) AS pairs FROM dist WHERE a < b GROUP BY ALL""")
+@query(f"""WITH {_TREE}, und AS (SELECT up.tree, ancestor AS node, bool_and(l.node % 3 > 0) AS pure FROM up JOIN leaves l ON up.tree = l.tree AND up.node = l.node GROUP BY ALL),
+top AS (SELECT e.tree, e.node FROM edges e JOIN und u ON e.tree = u.tree AND e.node = u.node LEFT JOIN und p ON p.tree = e.tree AND p.node = e.parent WHERE u.pure AND NOT coalesce(p.pure, false)),
+mem AS (SELECT t.tree, t.node, l.node AS at FROM top t JOIN up ON up.tree = t.tree AND up.ancestor = t.node JOIN leaves l ON l.tree = up.tree AND l.node = up.node),
+d AS (SELECT x.tree, x.node, x.at, y.at, min(ux.dist + uy.dist) AS dist FROM mem x JOIN mem y ON x.tree = y.tree AND x.node = y.node AND x.at < y.at JOIN up ux ON ux.tree = x.tree AND ux.node = x.at
+  JOIN up uy ON uy.tree = y.tree AND uy.node = y.at AND uy.ancestor = ux.ancestor GROUP BY ALL)
+SELECT t.tree, t.node, coalesce(avg(dist), 0.0) AS mean_dist, count(dist) AS pairs FROM top t LEFT JOIN d ON d.tree = t.tree AND d.node = t.node GROUP BY ALL""")
 def mean_pairwise_distance(spark, sf):
-    e, q, r = _sides(spark, sf)
-    return tree.mean_pairwise(tree.patristic(e, q, r), ["tree"])
+    e = edges(spark, sf)
+    return tree.clade_spread(e, e.where("leaf is not null and node % 3 > 0").select("tree", "leaf"))
 
 
 @query(f"""WITH {PAIRS}, ed AS (SELECT a, b FROM pairs WHERE overlap >= 0.02 AND shared >= 12), bi AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed),

@@ -76,11 +76,11 @@ def taxon_counts(spark, sf):
 
 
 @query(f"""{_COUNTS}, f AS (SELECT query, level, n, sum(n) OVER (PARTITION BY query, level) AS t,
-  CASE WHEN n * 100 <= 5 * sum(n) OVER (PARTITION BY query, level) THEN CASE WHEN contains(taxon, '__') THEN split_part(taxon, '__', 1) || '__other' ELSE taxon || '_other' END ELSE taxon END AS taxon FROM counts),
+  CASE WHEN level <> 'domain' AND n * 100 <= 5 * sum(n) OVER (PARTITION BY query, level) THEN CASE WHEN contains(taxon, '__') THEN split_part(taxon, '__', 1) || '__other' WHEN contains(taxon, '_') THEN split_part(taxon, '_', 1) || '__other' ELSE taxon || '_other' END ELSE taxon END AS taxon FROM counts),
 g AS (SELECT query, level, taxon, sum(n) AS n, max(t) AS t FROM f GROUP BY ALL)
 SELECT query, level, string_agg(taxon || ':' || n || '(' || CAST(round(CAST(n * 100 AS DECIMAL(20, 10)) / CAST(t AS DECIMAL(12, 0)), 2) AS DECIMAL(20, 2)) || '%)', ',' ORDER BY n DESC, taxon) AS tally FROM g GROUP BY ALL""")
 def taxon_tally(spark, sf):
-    return vote.tally(vote.rank_counts(_votes(spark, sf), "query", RANKS), ["query", "level"], "taxon")
+    return vote.tally(vote.rank_counts(_votes(spark, sf), "query", RANKS), ["query", "level"], "taxon", level="level")
 
 
 @query(f"""{_COUNTS}, t AS (SELECT query, level, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY ALL)

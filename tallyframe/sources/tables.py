@@ -49,11 +49,11 @@ def domain_hits(lines: DataFrame) -> DataFrame:
 
 
 def similarity_hits(lines: DataFrame, least_identity: float = 30.0) -> DataFrame:
-    """Rows whose numbers parse, with 0 <= identity <= 100 and at least the floor; a row's place in its file is not kept."""
+    """Rows whose identity and score parse, with 0 <= identity <= 100 and at least the floor; other numbers may be missing. A row's place in its file is not kept."""
     kinds = ["string", "string", "double", *["int"] * 7, "double", "double"]
     rows = fields(lines).where(F.size("f") >= 12)
     parsed = rows.select(*(at(i, k).alias(c) for i, (c, k) in enumerate(zip(SIMILARITY_COLUMNS, kinds, strict=True))))
-    return parsed.where("identity between 0 and 100 and score is not null and evalue is not null").where(F.col("identity") >= least_identity)
+    return parsed.where("identity between 0 and 100 and score is not null").where(F.col("identity") >= least_identity)
 
 
 def similarity_audit(lines: DataFrame) -> DataFrame:

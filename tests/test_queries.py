@@ -1,4 +1,4 @@
-"""Every registered query of the reference's own operators against its SQL twin in DuckDB, on the smallest tables."""
+"""Every registered query of the reference's own operators against its SQL twin in DuckDB, at scale 0.01, where rare letters and ties occur."""
 
 import glob
 import math
@@ -10,7 +10,7 @@ import pytest
 
 from tallyframe.plans import registry
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def plain(v):
