@@ -210,6 +210,28 @@ def test_carving_takes_whole_pdfs_and_zips():
     assert found == [("application/zip", 2, 2 + len(whole)), ("application/zip", 2 + start, 2 + start + len(inner.getvalue()))]
 
 
+def test_media_of_odd_rows(spark):
+    rows = [(1, "image/png", 5, None, "a", "b"), (2, "x/y", 3, bytearray(GIF + _png()), "a", "b"), (3, None, 0, bytearray(b""), "a", "b")]
+    df = spark.createDataFrame(rows, "id long, declared string, n_bytes long, media binary, sniffed string, type string")
+    found = media_columns.corrected(df)
+    assert found.columns == ["id", "declared", "n_bytes", "media", "type", "sniffed", "embedded"]
+    assert {r.id: r.sniffed for r in found.collect()} == {1: "image/png", 2: "image/gif", 3: None}
+    assert [(r.id, r.type, bytes(r.carved)) for r in media_columns.carve(found).collect()] == [(2, "image/png", _png())]
+    stored = spark.createDataFrame([(1, "image/png", 5, None), (2, "x/y", 3, bytearray(media_columns.wav(b"ab")))], "id long, declared string, n_bytes long, media binary")
+    got = {r.id: r for r in media_columns.media_features(stored).collect()}
+    assert (got[1].payload_bytes, got[1].media_sha256, got[1].feature) == (None, None, "image/png;corrected=0;embedded=")
+    assert got[2].payload_bytes == 2
+
+
+@pytest.mark.parametrize("unit", [b"PK\x03\x04 x", b"%PDF-1 startxref ", b"GIF89a.......!abcde", b"OggS\0\0" + bytes(20) + b"\1\2xy", b"RIFF    WAVEdata    ", b"PK\x05\x06" + bytes(30)])
+def test_magic_bytes_without_end_cost_one_pass(unit):
+    import time
+
+    automaton, began = media_columns._automaton(), time.process_time()
+    found = media_columns.sniff(unit * (2_000_000 // len(unit)), automaton)
+    assert time.process_time() - began < 5 and len(found) <= 1
+
+
 def test_preference_pairs(spark):
     rows = [
         (0, 0, "system", "be kind"), (0, 1, "user", "hi"), (0, 2, "assistant", "hello"), (0, 3, "user", "bye"), (0, 4, "assistant", "so long"),
