@@ -3,7 +3,9 @@
 A tree over numeric metadata dimensions is grown level by level. Each open node is split along its widest dimension, in units of
 that dimension's whole range, at a weighted quantile: the median if its two sides get as many shards. The quantile is found by
 distributed histograms that narrow the interval in which it lies; ties on a dimension are told apart by a hash of the text, so the
-split is as even as the rows allow. Rows with equal text have one place in every dimension, so they share a shard.
+split is as even as the rows allow. Rows with equal text have one place in every dimension, so they share a shard. The driver keeps one
+row for each of at most MOST_NODES nodes; nodes that still hold several shards then are split further by running sums within each,
+without the driver.
 
 Sizes are UTF-8 bytes of the text plus 1. Slots number a shard's rows without gaps: rows are ordered within hashed
 buckets of bounded size, and the buckets' counts are summed up.
@@ -26,8 +28,10 @@ from tallyframe.llm.common import materialize
 PARTS = 256
 #: The share of a node's bytes by which a split may miss.
 MISS = 0.0005
-#: Shards up to which a tree is grown here: the driver keeps one row for each node.
-MOST_SHARDS = 65_536
+#: Nodes of which the driver keeps a row. Below them each node's points, not texts, are sorted in one task.
+MOST_NODES = 4_096
+#: Texts that more than one row in HOT has, fewer than HOT of them, are placed by broadcast.
+HOT = 1_000
 #: Rows of a bucket for slots, about.
 BUCKET_ROWS = 20_000
 _KEY_BITS = 31
@@ -53,8 +57,8 @@ def _place(low, high, value, tie):
 
 def assign(points: DataFrame, dims: list[str], shards: int) -> DataFrame:
     """points(key, tie, weight, *dims) with their shard. Points are distinct by key."""
-    if not 1 <= shards <= MOST_SHARDS:
-        raise ValueError(f"between 1 and {MOST_SHARDS} shards")
+    if shards < 1:
+        raise ValueError("at least one shard")
     spark = points.sparkSession
     whole = points.agg(*(F.min(d) for d in dims), *(F.max(d) for d in dims)).first()
     span = [(whole[len(dims) + i] or 0) - (whole[i] or 0) for i in range(len(dims))]
@@ -120,9 +124,26 @@ def assign(points: DataFrame, dims: list[str], shards: int) -> DataFrame:
             now.join(cuts, "node").select("key", "tie", "weight", *dims, (F.col("node") * 2 + 1 + right.cast("int")).alias("node")), "kd-nodes"
         )
         open_nodes = nodes
-        done = all(n.shards == 1 for n in nodes.values())
-    leaves = F.broadcast(spark.createDataFrame([(k, n.first) for k, n in open_nodes.items()], "node int, shard int"))
-    return now.join(leaves, "node").drop("node")
+        done = all(n.shards == 1 for n in nodes.values()) or len(nodes) >= MOST_NODES
+    leaves = F.broadcast(spark.createDataFrame([(k, n.first, n.shards) for k, n in open_nodes.items()], "node int, shard int, shards int"))
+    placed, most = now.join(leaves, "node").drop("node"), max(n.shards for n in open_nodes.values())
+    while most > 1 and whole[0] is not None:
+        placed, most = materialize(_halved(placed, dims, span), "kd-halves"), most - most // 2
+    return placed.drop("shards")
+
+
+def _halved(now: DataFrame, dims: list[str], span: list[float]) -> DataFrame:
+    """points(key, tie, weight, *dims, shard, shards) with each node of several shards split in two along its widest dimension."""
+    node = W.partitionBy("shard")
+    width = [(F.max(d).over(node) - F.min(d).over(node)) / F.lit(float(w)) if w else F.lit(0.0) for d, w in zip(dims, span, strict=True)]
+    marked = now.withColumn("_w", F.array(*width)).withColumn("_dim", F.array_position("_w", F.array_max("_w")))
+    value = F.element_at(F.array(*(F.col(d).cast("double") for d in dims)), F.col("_dim").cast("int"))
+    before = F.coalesce(F.sum("weight").over(node.orderBy("_v", "tie", "key").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    half = F.floor(F.col("shards") / 2).cast("int")
+    middle = marked.withColumn("_v", value).withColumns({"_m": before + F.col("weight") / 2, "_all": F.sum("weight").over(node)})
+    right = (F.col("shards") > 1) & (F.col("_m") * F.col("shards") > F.col("_all") * half)
+    left = (F.col("shards") > 1) & ~right
+    return middle.select("key", "tie", "weight", *dims, F.when(right, F.col("shard") + half).otherwise(F.col("shard")).alias("shard"), F.when(left, half).otherwise(F.col("shards") - F.when(right, half).otherwise(0)).alias("shards"))
 
 
 def _metadata(docs: DataFrame, text_col: str, source_col: str | None, lang_col: str | None) -> DataFrame:
@@ -140,29 +161,35 @@ DIMS = ["by_size", "by_source", "by_lang"]
 
 
 def text_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, text_col="text", source_col="source", lang_col="lang") -> DataFrame:
-    """(key, shard): the shard of each distinct text, key as in _metadata. Copies lie where the copy with the least metadata lies."""
+    """(key, shard, n): the shard of each distinct text and its rows, key as in _metadata. Copies lie where the copy with the least
+    metadata lies."""
     rows = _metadata(docs, text_col, source_col, lang_col)
-    points = rows.groupBy("key").agg(F.sum("size").alias("weight"), *(F.min(d).alias(d) for d in DIMS))
+    points = rows.groupBy("key").agg(F.sum("size").alias("weight"), F.min("size").alias("size"), *(F.min(d).alias(d) for d in DIMS))
     tie = F.pmod(F.xxhash64("key"), F.lit(1 << _KEY_BITS))
     points = materialize(points.withColumn("tie", tie), "kd-points")
     if shards is None:
         total = points.agg(F.sum("weight")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
-    return assign(points, DIMS, shards).select("key", "shard")
+    return assign(points.drop("size"), DIMS, shards).join(points.select("key", F.expr("weight div size").alias("n")), "key").select("key", "shard", "n")
 
 
 def shard(
     docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, id_col="doc_id", text_col="text", source_col="source", lang_col="lang"
 ) -> DataFrame:
     """docs' columns and _size, _shard, _slot, which replace columns of these names."""
-    placed = text_shards(docs, shards, target_bytes, text_col, source_col, lang_col)
+    placed, n = materialize(text_shards(docs, shards, target_bytes, text_col, source_col, lang_col), "kd-texts"), docs.count()
     text = F.col(text_col).cast("string")
     key = F.coalesce(F.sha2(text, 256), F.lit(""))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
-    tagged = docs.withColumns({"_size": size, "_tf_key": key}).alias("d").join(placed.alias("p"), F.col("d._tf_key") == F.col("p.key"))
-    rows = tagged.select("d.*", F.col("p.shard").alias("_tf_shard")).drop("_shard").withColumnRenamed("_tf_shard", "_shard")
+    hot = placed.where(F.col("n") * HOT > n).select(F.col("key").alias("_tf_hot"), F.col("shard").alias("_tf_hot_shard"))
+    tagged = docs.withColumns({"_size": size, "_tf_key": key}).join(F.broadcast(hot), F.col("_tf_key") == F.col("_tf_hot"), "left")
+    # rows of hot texts have their shard already: they go where their id sends them and meet nothing
+    apart = F.concat(F.lit("#"), F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("string"))
+    met = tagged.withColumn("_tf_join", F.when(F.col("_tf_hot").isNull(), F.col("_tf_key")).otherwise(apart))
+    met = met.join(placed.select(F.col("key").alias("_tf_join"), F.col("shard").alias("_tf_shard")), "_tf_join", "left")
+    rows = met.withColumn("_shard", F.coalesce("_tf_hot_shard", "_tf_shard"))
     own = [c for c in docs.columns if c not in ("_size", "_shard", "_slot")]
-    return _slots(rows, own, id_col, docs.count())
+    return _slots(rows, own, id_col, n)
 
 
 def _slots(rows: DataFrame, columns: list[str], id_col: str, n: int) -> DataFrame:

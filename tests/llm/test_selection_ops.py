@@ -138,6 +138,23 @@ def test_shards_by_target_bytes(spark, sf):
     assert len(sizes) == 6
 
 
+def test_more_shards_than_the_driver_keeps(spark, monkeypatch):
+    monkeypatch.setattr(kd_sharding, "MOST_NODES", 4)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("octet_length(text) < 4000")
+    sizes = _checked(kd_sharding.shard(docs, shards=37).collect(), 37)
+    assert len(sizes) == 37 and max(sizes.values()) < 1.6 * min(sizes.values())
+    few = docs.limit(20)
+    assert len(kd_sharding.shard(few, target_bytes=1).collect()) == 20
+
+
+def test_rows_of_hot_texts_are_spread(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "hot" if i % 3 else f"text {i} " * 40, "en", "s") for i in range(3000)], "doc_id long, text string, lang string, source string")
+    want = {r.doc_id: (r._shard, r._size) for r in kd_sharding.shard(docs, shards=4).collect()}
+    monkeypatch.setattr(kd_sharding, "HOT", 1)  # no text is hot
+    assert {r.doc_id: (r._shard, r._size) for r in kd_sharding.shard(docs, shards=4).collect()} == want
+    assert len({s for i, (s, _) in want.items() if i % 3}) == 1
+
+
 def test_shards_of_odd_rows(odd_docs):
     out = kd_sharding.shard(odd_docs, shards=4)
     rows = out.collect()
