@@ -43,47 +43,52 @@ BATCH_BYTES = 4 << 20
 #: So many keys' places, 32 bytes each, are broadcast to the tasks that read shards.
 BROADCAST_KEYS = 2_000_000
 #: Keys of an index bucket, about, and of a displacement group, on average.
-BUCKET_KEYS, GROUP_KEYS = 20_000, 4
-#: Words whose ids a worker remembers.
-REMEMBERED = 900_000
-_UNSAFE = re.compile(r"\s (?=\s|$)")
+BUCKET_KEYS, GROUP_KEYS = 20_000, 3
+#: Pieces of text whose ids a worker remembers.
+REMEMBERED = 800_000
+_APART = "\0"
+_UNSAFE = re.compile(r"\s\s|\0|(?<![A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])[.,]")
 _encoder: dict = {}
 
 
 class Encoder:
-    """The tokenizer over whole texts. Its pre-tokenizer never joins text across a single space, so pieces between spaces are
-    encoded once and remembered; texts with blanks in a row, or a special token's string, are encoded as a whole."""
+    """The tokenizer over whole texts. Its pre-tokenizer never joins text across a single blank, nor a letter or digit with a mark
+    after it, so the pieces between blanks, with marks and line ends as pieces of their own, are encoded once and remembered. Texts
+    with blanks in a row, a mark after anything but a letter or digit, or a special token's string are encoded as a whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.kind = "<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4"
-        self.code = "H" if self.kind == "<u2" else "I"
-        self.pieces, self.model = self.whole.pre_tokenizer.pre_tokenize_str, self.whole.model
+        self.kind = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.model = self.whole.model
         # letters up to U+024F as the pre-tokenizer writes their bytes
-        self.shown = {c: self.pieces(chr(c))[0][0] for c in range(65, 0x250) if chr(c).isalpha()}
-        self.space = self.pieces(" ")[0][0]
-        self.marks = {m: self._encode(m) for m in ".,;:!?"}
+        written = lambda c: self.whole.pre_tokenizer.pre_tokenize_str(c)[0][0]
+        self.shown = {c: written(chr(c)) for c in range(65, 0x250) if chr(c).isalpha()}
+        self.space, self.line = written(" "), self._encode("\n")
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, piece: str) -> bytes:
-        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """The ids of a space and a word. A run of letters, with a mark after it or not, needs no pre-tokenizer."""
-        body, mark = (word[:-1], word[-1]) if word[-1:] in self.marks else (word, "")
-        if body.isalpha() and max(body) < "\u0250":
-            return self._ids(self.space + body.translate(self.shown)) + (self.marks[mark] if mark else b"")
-        return b"".join([self._ids(piece) for piece, _ in self.pieces(f" {word}")])
-
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a piece: a word after a blank, or what follows _APART. Runs of letters need no pre-tokenizer."""
+        lead, ids, body = self.space, b"", piece
+        if piece[:1] == _APART:
+            lead, body = "", piece[1:]
+            if body[:1] == "\n":
+                ids, body = self.line, body[1:]
+        if body.isalpha() and max(body) < "\u0250":
+            return ids + array(self.code, [t.id for t in self.model.tokenize(lead + body.translate(self.shown))]).tobytes()
+        return self._encode(f" {piece}" if lead else piece[1:])
+
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special) or _UNSAFE.search(text):
             return self._encode(text)
+        for mark in ".,\n":
+            text = text.replace(mark, f" {_APART}{mark}")
         first, *rest = text.split(" ")
         known = self.known
         out = [*map(known.get, rest)]
@@ -92,8 +97,8 @@ class Encoder:
                 known.clear()
             for i, ids in enumerate(out):
                 if ids is None:
-                    word = rest[i]
-                    out[i] = known[word] = known.get(word) or self._word(word)
+                    piece = rest[i]
+                    out[i] = known[piece] = known.get(piece) or self._piece(piece)
         return self._encode(first) + b"".join(out)
 
 
@@ -121,7 +126,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
         from pyspark import TaskContext
 
         encoder, part = _encoder_for(tokenizer), TaskContext.get().partitionId()
-        end, width = np.array([end_id], encoder.kind).tobytes(), np.dtype(encoder.kind).itemsize
+        width = encoder.kind.itemsize
+        end = np.array([end_id], encoder.kind).tobytes()
         held, ids, size, shard, last, ordinal = [], [], 0, 0, (), 0
 
         def flush() -> pa.RecordBatch:
@@ -233,8 +239,9 @@ def _whole(keys: DataFrame, *rest: str) -> DataFrame:
 
 
 def _slots(h: np.ndarray, g: np.ndarray, displacement: np.ndarray, n: int) -> np.ndarray:
-    """Slots of keys of hashes h and g under a displacement; shapes broadcast."""
-    return (mix(h + g * mix(displacement.astype(np.uint64))) % np.uint64(n)).astype(np.int64)
+    """Slots of keys of hashes h and g under a displacement; a negative one is ~slot, of a group of one key."""
+    mixed = (mix(h + g * mix(displacement.astype(np.uint64))) % np.uint64(n)).astype(np.int64)
+    return np.where(displacement < 0, ~displacement.astype(np.int64), mixed)
 
 
 def _group(h: np.ndarray, groups: int) -> np.ndarray:
@@ -242,31 +249,36 @@ def _group(h: np.ndarray, groups: int) -> np.ndarray:
 
 
 def _perfect(h: np.ndarray, g: np.ndarray) -> np.ndarray:
-    """A displacement for each group of keys such that all keys, of distinct pairs of hashes, fall on different slots of len(h)."""
+    """A displacement for each group of keys such that all keys, of distinct pairs of hashes, fall on different slots of len(h).
+
+    Large groups come first. All groups of a size try one displacement at a time; those that fall on free slots, and on no slot of
+    an earlier group, keep it. Groups of one key take the slots left over.
+    """
     n = len(h)
     groups = max(1, -(-n // GROUP_KEYS))
     group = _group(h, groups)
     order = np.argsort(group, kind="stable")
     starts = np.searchsorted(group[order], np.arange(groups + 1))
     sizes = np.diff(starts)
-    taken, out = np.zeros(n, bool), np.zeros(groups, np.int32)
-    for i in np.argsort(-sizes, kind="stable").tolist():
-        if not sizes[i]:
-            break
-        own, base = order[starts[i] : starts[i + 1]], 0
-        while True:  # try a run of displacements at once; late groups need many
-            tries = np.arange(base, base + (16 if base == 0 else 4096))
-            at = _slots(h[own][None, :], g[own][None, :], tries[:, None], n)
-            free = ~taken[at].any(axis=1)
-            if len(own) > 1:
-                ranked = np.sort(at, axis=1)
-                free &= (ranked[:, 1:] != ranked[:, :-1]).all(axis=1)
-            hit = np.flatnonzero(free)
-            if len(hit):
-                out[i] = tries[hit[0]]
-                taken[at[hit[0]]] = True
-                break
-            base = int(tries[-1]) + 1
+    taken, out, owner = np.zeros(n, bool), np.zeros(groups, np.int32), np.empty(n, np.int64)
+    for size in np.unique(sizes[sizes > 1])[::-1].tolist():
+        waiting, tried = np.flatnonzero(sizes == size), 0
+        own = order[starts[waiting][:, None] + np.arange(size)]
+        while len(waiting):
+            at = _slots(h[own], g[own], np.array([tried]), n)
+            ranked = np.sort(at, axis=1)
+            able = np.flatnonzero(~taken[at].any(axis=1) & (ranked[:, 1:] != ranked[:, :-1]).all(axis=1))
+            if len(able):
+                number = np.arange(len(able))
+                owner[at[able]] = len(able)
+                np.minimum.at(owner, at[able], number[:, None])
+                won = able[(owner[at[able]] == number[:, None]).all(axis=1)]
+                taken[at[won]] = True
+                out[waiting[won]] = tried
+                waiting, own = np.delete(waiting, won), np.delete(own, won, axis=0)
+            tried += 1
+    single = np.flatnonzero(sizes == 1)
+    out[single] = ~np.flatnonzero(~taken).astype(np.int32)
     return out
 
 
