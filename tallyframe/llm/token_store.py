@@ -36,8 +36,8 @@ from tallyframe.llm.common import arrow_batches, materialize, mix, scratch
 
 MAGIC = b"TOKS"
 SHARD_TOKENS = 1 << 22
-#: Bytes of text of one task's range, at most about; the session's number of shuffle partitions holds where it gives smaller ranges.
-RANGE_BYTES = 256 << 20
+#: Rows of one task's range, at most about; the session's number of shuffle partitions holds where it gives smaller ranges.
+RANGE_ROWS = 50_000
 #: Bytes that go to a Python worker at a time, about.
 BATCH_BYTES = 4 << 20
 #: So many keys' places, 32 bytes each, are broadcast to the tasks that read shards.
@@ -47,14 +47,17 @@ BUCKET_KEYS, GROUP_KEYS = 20_000, 3
 #: Pieces of text whose ids a worker remembers.
 REMEMBERED = 800_000
 _APART = "\0"
-_UNSAFE = re.compile(r"\s\s|\0|(?<![A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])[.,]")
+_MARKS = (_APART + ".", _APART + ",")
+_TWO_MARKS = ("..", ".,", ",.", ",,")
+_ENDS_PLAIN = re.compile(r"[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]\Z").search
 _encoder: dict = {}
 
 
 class Encoder:
     """The tokenizer over whole texts. Its pre-tokenizer never joins text across a single blank, nor a letter or digit with a mark
     after it, so the pieces between blanks, with marks and line ends as pieces of their own, are encoded once and remembered. Texts
-    with blanks in a row, a mark after anything but a letter or digit, or a special token's string are encoded as a whole."""
+    that open with a blank or mark, or have blanks in a row, a mark after anything but a letter or digit, or a special token's string,
+    are encoded as a whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -69,6 +72,7 @@ class Encoder:
         self.shown = {c: written(chr(c)) for c in range(65, 0x250) if chr(c).isalpha()}
         self.space, self.line = written(" "), self._encode("\n")
         self.known: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}  # pieces that end in a sign
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -84,22 +88,42 @@ class Encoder:
             return ids + array(self.code, [t.id for t in self.model.tokenize(lead + body.translate(self.shown))]).tobytes()
         return self._encode(f" {piece}" if lead else piece[1:])
 
-    def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special) or _UNSAFE.search(text):
-            return self._encode(text)
-        for mark in ".,\n":
-            text = text.replace(mark, f" {_APART}{mark}")
-        first, *rest = text.split(" ")
-        known = self.known
-        out = [*map(known.get, rest)]
+    def _rest(self, pieces: list[str]) -> list[bytes] | None:
+        """The ids of each piece; None if two of them cannot be told apart. Pieces with anything that matters to that are never in
+        `known`, so texts of known pieces alone need no look at each."""
+        known, odd = self.known, self.odd
+        out = [*map(known.get, pieces)]
         if None in out:
-            if len(known) >= REMEMBERED:
+            if len(known) + len(odd) >= REMEMBERED:
                 known.clear()
+                odd.clear()
             for i, ids in enumerate(out):
                 if ids is None:
-                    piece = rest[i]
-                    out[i] = known[piece] = known.get(piece) or self._piece(piece)
-        return self._encode(first) + b"".join(out)
+                    piece = pieces[i]
+                    out[i] = odd.get(piece)
+                    if out[i] is not None and (i + 1 == len(pieces) or pieces[i + 1][:2] not in _MARKS):
+                        continue
+                    body = piece[1:] if piece[:1] == _APART else piece
+                    if not body or body[-1:].isspace() and (i + 1 < len(pieces) or body != "\n") or body[0].isspace() and body[0] != "\n":
+                        return None  # blanks in a row
+                    if _ENDS_PLAIN(piece) or piece in _MARKS:
+                        out[i] = known[piece] = known.get(piece) or self._piece(piece)
+                    elif i + 1 < len(pieces) and pieces[i + 1][:2] in _MARKS:
+                        return None  # a mark after a sign
+                    else:
+                        out[i] = odd[piece] = self._piece(piece)
+        return out
+
+    def __call__(self, text: str) -> bytes:
+        if _APART in text or any(s in text for s in self.special) or any(two in text for two in _TWO_MARKS):
+            return self._encode(text)
+        split = text
+        for mark in ".,\n":
+            split = split.replace(mark, f" {_APART}{mark}")
+        first, *pieces = split.split(" ")
+        bare = not first or first[-1].isspace() or pieces and not _ENDS_PLAIN(first) and pieces[0][:2] in _MARKS
+        ids = None if bare else self._rest(pieces)
+        return self._encode(text) if ids is None else self._encode(first) + b"".join(ids)
 
 
 def _encoder_for(path: str) -> Encoder:
@@ -117,8 +141,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
     spark = docs.sparkSession
     key = F.col(id_col).cast("long")
     rows = docs.select(key.alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // RANGE_ROWS))
     order = F.col("id").asc_nulls_first()
     ranged = rows.repartitionByRange(parts, order).sortWithinPartitions(order, "text")
 

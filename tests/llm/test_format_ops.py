@@ -10,6 +10,8 @@ import brute
 import numpy as np
 import pytest
 import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyframe.llm import media_columns, preference_chat, queries, token_store, warc
@@ -163,6 +165,20 @@ def test_encoder_matches_whole_texts():
         assert np.frombuffer(e(t), e.kind).tolist() == e.whole.encode(t, add_special_tokens=False).ids, t
 
 
+@given(st.lists(st.sampled_from(["a", "Foo", "é", "ß9", "7", " ", " ", "\n", ".", ",", "!", ")", "'s", "\t", "\u00a0", "\r", "_", "%%", "\0", "<|endoftext|>", "日", "\u0301"]), max_size=14), st.integers(0, 1))
+@settings(max_examples=1500, deadline=None)
+def test_encoder_matches_any_text(encoder, parts, warm):
+    text = "".join(parts)
+    if warm:
+        encoder(text)
+    assert np.frombuffer(encoder(text), encoder.kind).tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return token_store.Encoder(queries.tokenizer_path())
+
+
 def test_media_round_trip(spark, odd_docs, odd_rows):
     got = media_columns.media_features(media_columns.media_column(odd_docs)).collect()
     assert len(got) == len(odd_rows)
