@@ -3,7 +3,8 @@
 Shards are binary files: a header, the documents' token counts and keys, and the raw ids as little-endian unsigned integers of 16 bits
 where the vocabulary fits them, else of 32.
 Documents are dealt by ranges of their id, so shards in order of number hold documents in ascending order of id. A task writes
-shards of bounded size through Spark's text writer, one row and so one file each, ended by a line separator that readers drop.
+shards of bounded size through Spark's text writer, one row and so one file each, ended by a line separator that readers drop. Before
+each shard goes a small file with its table alone, from which the index is built.
 
 The index divides keys into buckets by a hash. A bucket's minimal perfect hash has a displacement for each of its small groups of
 keys, chosen so that all keys fall on different slots; a slot stores a fingerprint of its key, the shard, the place in it and the
@@ -34,7 +35,7 @@ from pyspark.sql import Window as W
 
 from tallyframe.llm.common import arrow_batches, materialize, mix, scratch
 
-MAGIC = b"TOKS"
+MAGIC, TABLE_MAGIC = b"TOKS", b"TOKT"
 SHARD_TOKENS = 1 << 22
 #: Rows of one task's range, at most about; the session's number of shuffle partitions holds where it gives smaller ranges.
 RANGE_ROWS = 50_000
@@ -48,6 +49,7 @@ BUCKET_KEYS, GROUP_KEYS = 20_000, 3
 REMEMBERED = 800_000
 _APART = "\0"
 _MARKS = (_APART + ".", _APART + ",")
+_LINE = _APART + "\n"
 _TWO_MARKS = ("..", ".,", ",.", ",,")
 _ENDS_PLAIN = re.compile(r"[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]\Z").search
 _encoder: dict = {}
@@ -100,11 +102,14 @@ class Encoder:
             for i, ids in enumerate(out):
                 if ids is None:
                     piece = pieces[i]
+                    if piece == _LINE and i + 1 == len(pieces):
+                        out[i] = self.line
+                        continue
                     out[i] = odd.get(piece)
                     if out[i] is not None and (i + 1 == len(pieces) or pieces[i + 1][:2] not in _MARKS):
                         continue
                     body = piece[1:] if piece[:1] == _APART else piece
-                    if not body or body[-1:].isspace() and (i + 1 < len(pieces) or body != "\n") or body[0].isspace() and body[0] != "\n":
+                    if not body or body[-1].isspace() or body[0].isspace() and body[0] != "\n":
                         return None  # blanks in a row
                     if _ENDS_PLAIN(piece) or piece in _MARKS:
                         out[i] = known[piece] = known.get(piece) or self._piece(piece)
@@ -156,8 +161,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
         def flush() -> pa.RecordBatch:
             lengths = np.array([len(x) // width for x in held], "<u4")
             keys = np.array([(0 if i is None else i, i is None, o) for i, o in ids], _KEY)
-            head = MAGIC + struct.pack("<IIII", width, part, shard, len(held))
-            return pa.RecordBatch.from_arrays([pa.array([b"".join((head, lengths.tobytes(), keys.tobytes(), *held))], pa.binary())], ["shard"])
+            table = b"".join((struct.pack("<IIII", width, part, shard, len(held)), lengths.tobytes(), keys.tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array([TABLE_MAGIC + table, b"".join((MAGIC, table, *held))], pa.binary())], ["shard"])
 
         for b in batches:
             for i, text in zip(b.column(0), b.column(1), strict=True):
@@ -179,25 +184,32 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
     return shard_contents(spark, path)
 
 
-def _parse(data: memoryview) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
-    """part, shard, token counts, keys and ids of a shard file; checks its magic and its length."""
-    if bytes(data[:4]) != MAGIC or len(data) < 20:
+def _table(data: memoryview, magic: bytes) -> tuple[int, int, int, np.ndarray, np.ndarray, int]:
+    """width, part, shard, token counts, keys and the end of a shard's table."""
+    if bytes(data[:4]) != magic or len(data) < 20:
         raise ValueError("not a shard of token ids")
     width, part, shard, n = struct.unpack_from("<IIII", data, 4)
-    lengths = np.frombuffer(data, "<u4", n, 20)
-    keys = np.frombuffer(data, _KEY, n, 20 + 4 * n)
-    at = 20 + 4 * n + keys.nbytes
+    end = 20 + (4 + _KEY.itemsize) * n
+    if width not in (2, 4) or len(data) < end:
+        raise ValueError(f"shard {part}/{shard} is cut off")
+    return width, part, shard, np.frombuffer(data, "<u4", n, 20), np.frombuffer(data, _KEY, n, 20 + 4 * n), end
+
+
+def _parse(data: memoryview) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    """part, shard, token counts, keys and ids of a shard file; checks its magic and its length."""
+    width, part, shard, lengths, keys, at = _table(data, MAGIC)
     total = int(lengths.sum())
-    if width not in (2, 4) or len(data) != at + width * total + 1:
+    if len(data) != at + width * total + 1:
         raise ValueError(f"shard {part}/{shard} has {len(data)} bytes; {at + width * total + 1} expected")
     return part, shard, lengths, keys, np.frombuffer(data, f"<u{width}", total, at)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    """(content, part, shard) of the shard files; Spark's writer numbers them by task and by row."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+def _files(spark: SparkSession, path: str, tables: bool = False) -> DataFrame:
+    """(content, part, shard) of the shard files, or of the tables before them; Spark's writer numbers files by task and by row."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"part-*-c*[{'02468' if tables else '13579'}].*").load(path)
     number = lambda pattern: F.regexp_extract(F.element_at(F.split("path", "/"), -1), pattern, 1).cast("int")
-    return files.select("content", number(r"^part-(\d+)-").alias("part"), number(r"-c(\d+)\.[a-z]+$").alias("shard"))
+    row = number(r"-c(\d+)\.[a-z]+$")
+    return files.select("content", number(r"^part-(\d+)-").alias("part"), F.floor(row / 2).cast("int").alias("shard"))
 
 
 _PLACES = "id long, ordinal long, part int, shard int, place long, n_tokens long"
@@ -209,13 +221,13 @@ def shard_contents(spark: SparkSession, path: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column(0):
-                part, shard, lengths, keys, _ = _parse(memoryview(content.as_buffer()))
+                _, part, shard, lengths, keys, _ = _table(memoryview(content.as_buffer()), TABLE_MAGIC)
                 n = len(lengths)
                 place = np.cumsum(lengths, dtype=np.int64) - lengths
                 columns = [pa.array(keys["id"], mask=keys["null"] == 1), keys["ordinal"].astype(np.int64), np.full(n, part, np.int32), np.full(n, shard, np.int32), place, lengths.astype(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "ordinal", "part", "shard", "place", "n_tokens"])
 
-    return _files(spark, path).select("content").mapInArrow(read, _PLACES)
+    return _files(spark, path, tables=True).select("content").mapInArrow(read, _PLACES)
 
 
 def read_payloads(found: DataFrame, path: str, n_keys: int) -> DataFrame:

@@ -166,7 +166,7 @@ def test_encoder_matches_whole_texts():
 
 
 @given(st.lists(st.sampled_from(["a", "Foo", "é", "ß9", "7", " ", " ", "\n", ".", ",", "!", ")", "'s", "\t", "\u00a0", "\r", "_", "%%", "\0", "<|endoftext|>", "日", "\u0301"]), max_size=14), st.integers(0, 1))
-@settings(max_examples=1500, deadline=None)
+@settings(max_examples=3000, deadline=None)
 def test_encoder_matches_any_text(encoder, parts, warm):
     text = "".join(parts)
     if warm:
