@@ -95,6 +95,8 @@ def plan(totals: DataFrame, mix: Mix) -> DataFrame:
     if not z:
         return totals.select("source", "tokens", "n", F.lit(0.0).alias("weight"), F.lit(0.0).alias("quota"), F.lit(1).cast("long").alias("passes"), F.lit(0).cast("long").alias("partial"))
     budget = mix.budget if mix.budget is not None else mix.least_passes * z * spread
+    if mix.budget is not None and mix.repetition is not None and budget > mix.repetition * z * totals.agg(F.min(F.when(F.col("tokens") > 0, F.col("tokens") / q))).first()[0] * (1 + 1e-9):
+        raise ValueError("the budget repeats a source more often than the limit allows")
     share = q / F.lit(z)
     quota = F.round(share * F.lit(budget), 6)
     passes = F.when(F.col("tokens") > 0, F.floor(quota / F.col("tokens") + F.lit(1e-9))).otherwise(F.lit(1)).cast("long")

@@ -1,6 +1,7 @@
 """Quality, mixing, sharding and the pipeline."""
 
 import math
+import zlib
 
 import brute
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyframe.llm import kd_sharding, mixing, quality
+from tallyframe.llm import kd_sharding, mixing, quality, queries
 
 
 def test_quality_holds_out(spark):
@@ -206,6 +207,53 @@ def test_near_copies_of_repeated_and_null_ids(spark, sf):
     assert sorted(r[1].lower() for r in full if r[0] == 7) == ["one two"] and [r[1] in (third, third + " x") for r in full if r[0] is None] == [True]
 
 
+def test_stages_of_odd_rows(spark, sf, odd_docs):
+    """Every stage keeps extra columns, clashing names among them, and takes nulls, repeated rows and empty tables."""
+    odd = odd_docs.withColumns({"shard": F.lit("x"), "size": F.lit("y"), "_tokens": F.lit(1), "_size": F.lit(2), "_p_good": F.lit(3)})
+    odd = odd.unionByName(odd.limit(1).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit(None).cast("string"), "source": F.lit(None).cast("string")}))
+    n = odd.count()
+    counts = {}
+    for name, f in corpus_pipeline.STAGES:
+        out = f(spark, odd, sf)
+        if name == "kd_sharding":
+            assert set(odd.columns) | {"shard", "size", "slot"} == set(out.columns) and len(out.columns) == len(set(out.columns))
+        else:
+            assert out.columns == odd.columns
+        counts[name] = out.count()
+        assert f(spark, odd.limit(0), sf).count() == 0
+    assert counts["kd_sharding"] == n and n <= counts["source_mixing"] <= 2 * n
+    assert counts["decontamination"] == n and 0 < counts["jaccard_join"] < n
+
+
+def test_a_budget_beyond_the_limit_is_refused(spark):
+    docs = spark.createDataFrame(_mix_rows(spark), "doc_id long, text string, source string, passes int")
+    with pytest.raises(ValueError):
+        mixing.temperature_mix(docs, mixing.Mix(repetition=2.0, budget=1e9))
+
+
+def test_bindings_give_the_contracts_columns(spark, sf):
+    """The registered queries against plain versions, column by column."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = queries.op9_kd_sharding(spark, sf)
+    assert dict(rows.dtypes) == {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
+    texts, slots = dict(docs), {}
+    for r in rows.collect():
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "bytes", None)
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sorted(slots) == list(range(8)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    found = queries.op4_jaccard_join(spark, sf)
+    assert [(c, t) for c, t in found.dtypes if c != "component_id"] == [("doc_id", "bigint"), ("n_shingles", "bigint")]
+    want = brute.components(docs, 3, 90, 100)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == want
+    ids = queries.op3_token_index(spark, sf)
+    assert dict(ids.dtypes) == {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"} and ids.count() == len(docs)
+    media = {r.doc_id: (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in queries.op6_media_sniffing(spark, sf).collect()}
+    assert media == {i: brute.media(t) for i, t in docs}
+    graded = queries.op5_quality_classifier(spark, sf)
+    assert graded.count() == len(docs) and graded.where("keep is null or not (0 <= p_good and p_good <= p_low and p_low <= 1)").isEmpty()
+
+
 def test_pipeline_runs(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.count() > 0 and {"doc_id", "shard", "slot"} <= set(out.columns)
