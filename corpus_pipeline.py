@@ -1,4 +1,8 @@
-"""A training corpus from documents, in five stages. Each stage gets what its predecessor kept, as a table."""
+"""A training corpus from documents, in five stages. Each stage gets what its predecessor kept, as a table.
+
+In every stage null text counts as empty, texts of any length count whole, repeated rows are rows of their own unless a stage says
+otherwise, an empty table gives an empty table, and columns beyond those that a stage reads are kept, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +20,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects.
+
+    Null and empty texts have no features and are judged by the thresholds alone; equal texts are judged alike, so a tie at KEEP stays
+    for all of them; without labels of two grades all rows stay.
+    """
     return quality.select_quality(docs, table(spark, sf_dir, "labels"))
 
 
@@ -43,19 +51,30 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that benchmark passages contaminate."""
+    """Without the documents that benchmark passages contaminate.
+
+    Rows without words, null texts among them, stay; equal texts stay or go together; a row whose hit words are exactly a twentieth goes.
+    """
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tempered mixture: every document at least once, a source's documents at most twice."""
+    """The tempered mixture: every document at least once, a source's documents at most twice.
+
+    Null sources are one source; rows without words stay once; rows equal in id and text are taken together; the row that crosses a
+    source's quota is taken.
+    """
     return mixing.temperature_mix(docs, MIX).select(docs.columns)
 
 
 def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with shard and slot: 8 shards of near equal bytes."""
+    """The documents with size, shard and slot, which replace columns of these names: 8 shards of near equal bytes.
+
+    Equal texts share a shard; ties on all metadata are told apart by a hash of the text; a text larger than a shard stays whole.
+    """
     placed = kd_sharding.shard(docs, shards=8)
-    return placed.select(*docs.columns, F.col("_size").alias("size"), F.col("_shard").alias("shard"), F.col("_slot").cast("long").alias("slot"))
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "shard", "slot")]
+    return placed.select(*own, F.col("_size").alias("size"), F.col("_shard").alias("shard"), F.col("_slot").cast("long").alias("slot"))
 
 
 STAGES: list[tuple[str, Stage]] = [
