@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import uuid
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,23 +38,46 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, **options) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: lineage ends at replicated files."""
-    path = scratch(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Paths of the tables that materialize() wrote, for discard().
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 @contextlib.contextmanager
-def arrow_batches(spark: SparkSession, most: int) -> Iterator[None]:
-    """While it lasts, jobs hand rows to Python workers in batches of at most about that many bytes. A row is never split."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(most))
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """While it lasts, the session's setting has that value."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+
+
+def materialize(df: DataFrame, label: str, **options) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it again: lineage ends at replicated files.
+
+    The shuffle files behind it go as soon as the table is committed; until then a lost executor's are made again.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.options(**options).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[written] = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of materialize(). Only for those that no plan still to be run reads."""
+    for written in tables:
+        path = _WRITTEN.pop(written)
+        where = written.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(written.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def arrow_batches(spark: SparkSession, most: int) -> contextlib.AbstractContextManager[None]:
+    """While it lasts, jobs hand rows to Python workers in batches of at most about that many bytes. A row is never split."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -25,6 +25,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import materialize, mix, shingle_hashes
+from tallyframe.llm.common import discard, materialize, mix, shingle_hashes
 
 #: The most repeated tokens that are kept apart, a bound on what is broadcast (16 bytes each).
 FREQUENT = 50_000
@@ -211,7 +212,7 @@ def _open_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, table: DataFrame, reps: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs that pass the prefix bounds of all orders and then the comparison of whole sets, as edges of ids."""
+    """The pairs that pass the prefix bounds of all orders and then the comparison of whole sets, as a written table of edges of ids."""
     prefix = ["n", "p1", "p2", "p3"]
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(reps, "cls")
     have = table.join(nodes.select(F.col("rep").alias("id"), "cls"), ["id", "cls"], "left_semi").dropDuplicates(["cls"])
@@ -251,7 +252,9 @@ def _verified(pairs: DataFrame, table: DataFrame, reps: DataFrame, docs: DataFra
                 ok[r] = den * shared >= num * (len(x) + len(y) - shared)
             yield f.loc[ok, ["id_a", "id_b"]].set_axis(["u", "v"], axis=1)
 
-    return left.join(side("a"), "a").join(side("b"), "b").mapInPandas(compare, "u long, v long")
+    links = materialize(left.join(side("a"), "a").join(side("b"), "b").mapInPandas(compare, "u long, v long"), "jaccard-links")
+    discard(left, whole)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -277,8 +280,9 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now.agg(F.count("*"), F.expr("sum(cast(xxhash64(u, v) % 1000000007 as bigint))")).first()
         if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        seen = mark
-        now = materialize(star(star(now, True).distinct(), False).distinct(), "components")
+        seen, before = mark, now
+        now = materialize(star(star(before, True).distinct(), False).distinct(), "components")
+        discard(before)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -297,18 +301,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeated = _repeated(rows).drop("salt")
     open_rows = materialize(repeated.join(reps, "cls").where("rep is not null").withColumn("comp", F.col("rep")), "jaccard-rows")
 
-    linked, named = None, None
+    linked: list[DataFrame] = []
     for turn in range(TURNS + 1):
         last = turn == TURNS
         pairs = materialize(_open_pairs(open_rows, num, den) if last else _led_pairs(open_rows, num, den, turn), "jaccard-pairs")
-        found = _verified(pairs, table, reps, docs, k, num, den)
-        linked = materialize(found if linked is None else linked.unionByName(found), "jaccard-links")
-        named = components(linked)
+        linked.append(_verified(pairs, table, reps, docs, k, num, den))
+        discard(pairs)
+        named = components(functools.reduce(DataFrame.unionByName, linked))
         if not last:  # only tokens whose rows lie in several components stay open
             moved = open_rows.join(named, open_rows["rep"] == named["node"], "left")
             now = moved.select("token", "n", "pos", "cls", "rep", "b1", "b2", F.coalesce(named["comp"], "rep").alias("comp"))
             split = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-            open_rows = materialize(now.join(split, "token", "left_semi"), "jaccard-rows")
+            before, open_rows = open_rows, materialize(now.join(split, "token", "left_semi"), "jaccard-rows")
+            discard(before)
+    discard(open_rows, *linked)
     final = reps.join(named, reps["rep"] == named["node"], "left").select("cls", F.coalesce("comp", "rep").alias("comp"))
     return table.select("id", "n", "cls").join(final, "cls", "left").select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id")
