@@ -98,4 +98,21 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_PAIRS_SQL = """WITH turns AS (
+  SELECT conv_id // 2 AS pair, conv_id % 2 AS side, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY CAST(turn AS BIGINT) NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+drawn AS (SELECT *, '<|' || role || '|>' || chr(10) AS head, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS body FROM turns),
+placed AS (SELECT *, CAST(coalesce(sum(length(body)) OVER (PARTITION BY pair, side ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off FROM drawn),
+common AS (
+  SELECT pair, coalesce(min(i) FILTER (sides < 2 OR kinds > 1), max(i) + 1) - 1 AS n
+  FROM (SELECT pair, i, count(*) AS sides, count(DISTINCT (role, text)) AS kinds FROM turns GROUP BY pair, i) GROUP BY pair),
+cut AS (
+  SELECT pair, side, n, coalesce(string_agg(body, '' ORDER BY i) FILTER (i <= n), '') AS prompt, coalesce(string_agg(body, '' ORDER BY i) FILTER (i > n), '') AS rest,
+         coalesce(string_agg((off + length(head)) || ':' || (off + length(body)), ',' ORDER BY i) FILTER (i > n AND role = 'assistant'), '') AS mask
+  FROM placed JOIN common USING (pair) GROUP BY pair, side, n)
+SELECT pair AS pair_id, n AS n_common, max(prompt) AS prompt, max(rest) FILTER (side = 0) AS chosen, max(rest) FILTER (side = 1) AS rejected,
+       max(mask) FILTER (side = 0) AS chosen_mask, max(mask) FILTER (side = 1) AS rejected_mask
+FROM cut GROUP BY pair, n"""
+
+ORACLES: dict[str, str] = {"op8_preference_chat": _PAIRS_SQL}
