@@ -3,6 +3,7 @@
 from tallyframe.plans import (  # noqa: F401
     aggregate_queries,
     join_queries,
+    panel_queries,
     rank_queries,
     scalar_queries,
     score_queries,
