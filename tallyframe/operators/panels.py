@@ -31,8 +31,8 @@ def category_completeness(hits: DataFrame, key: str, model: str, item: str, cate
 def dominant_lineage(votes: DataFrame, keys: Sequence[str], lineage: Sequence[str]) -> DataFrame:
     """(keys, lineage, n): the lineage with most votes, the first in order of its ranks among equals. Counted before it is compared."""
     n = votes.groupBy(*keys, *lineage).agg(F.count("*").alias("n"))
-    best = n.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("o"), *lineage)).alias("_b"))
-    return best.select(*keys, *(F.col(f"_b.{c}").alias(c) for c in lineage), (-F.col("_b.o")).alias("n"))
+    best = n.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("_less"), *lineage)).alias("_b"))
+    return best.select(*keys, *(F.col(f"_b.{c}").alias(c) for c in lineage), (-F.col("_b._less")).alias("n"))
 
 
 def ranked_subjects(hits: DataFrame, keys: Sequence[str], subject: str, score: str, n: int) -> DataFrame:
