@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, jaccard_join, kd_sharding, media_columns, mixing, preference_chat, quality, secret_scan, token_store, warc
+from tallyframe.llm import decontaminate, jaccard_join, kd_sharding, media_columns, merkle, mixing, preference_chat, quality, secret_scan, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,11 +90,28 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("_tokens").alias("tokens"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_slot").alias("slot"))
 
 
+#: The fields of a document's leaf, in their order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents; leaves whose id the sample of changed rows holds are checked with n_chars one too high."""
+    docs = table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(21,0)")
+    changed = merkle.leaf_digest(*(more if c == "n_chars" else F.col(c) for c in LEAF))
+    touched = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & F.col("n_chars").isNotNull()
+    made = merkle.manifest(docs, LEAF, doc_id=F.col("doc_id"), changed=F.when(touched, changed))
+    root = F.lit(made.root()).cast("string")
+    again = merkle.folded(F.coalesce("changed", "digest"), F.col("proof"))
+    told = made.proofs().select("doc_id", F.col("digest").alias("leaf"), "subroot", root.alias("root"), merkle.siblings_digest(F.col("proof")).alias("proof_sha256"), again.alias("folded_root"))
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_zstd, op2_secret_scan, op3_token_index, op4_jaccard_join, op5_quality_classifier, op6_media_sniffing, op7_decontamination,
-        op8_preference_chat, op9_kd_sharding, op10_temperature_mix,
+        op8_preference_chat, op9_kd_sharding, op10_temperature_mix, op11_merkle_manifest,
     )
 }
 
