@@ -5,10 +5,14 @@ from __future__ import annotations
 import contextlib
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 #: Only used where spark.checkpoint.dir is unset, in local mode.
 LOCAL_SHARED = "file:///tmp/checkpoints/tallyframe"
@@ -75,6 +79,43 @@ def discard(*tables: DataFrame) -> None:
         where.getFileSystem(written.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def numbered(rows: DataFrame, group: str, order: Sequence[Column], label: str) -> DataFrame:
+    """rows, written, with _place, the row's place within its group by order, and _size, the group's rows. group is a string, never null.
+
+    Rows are sorted by ranges over all groups, so a group may span any number of tasks; rows equal in order are told apart by their place
+    in the written table and may span tasks as well.
+    """
+    told = materialize(rows.withColumn("_at", F.monotonically_increasing_id()), label)
+    by = [F.col(group).asc(), *order, F.col("_at").asc()]
+
+    def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, last, seen = TaskContext.get().partitionId(), None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            groups = b.column(group).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+            pos = np.arange(len(groups)) - np.repeat(starts, np.diff(np.append(starts, len(groups))))
+            if groups[0] == last:
+                pos[: starts[1] if len(starts) > 1 else len(pos)] += seen
+            last, seen = groups[-1], int(pos[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(pos), part)), pa.array(pos)], [*b.schema.names, "_part", "_pos"])
+
+    ranged = told.repartitionByRange(*by).sortWithinPartitions(*by).drop("_at")
+    schema = StructType(ranged.schema.fields[:]).add("_part", LongType()).add("_pos", LongType())
+    placed = materialize(ranged.mapInArrow(count_up, schema), label)
+    counts = placed.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # as many rows as tasks
+    offsets = counts.select(group, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    sizes = counts.groupBy(group).agg(F.sum("_n").alias("_size"))
+    joined = placed.join(offsets.join(sizes, group), [group, "_part"]).withColumn("_place", F.col("_pos") + F.col("_before"))
+    out = materialize(joined.select(*rows.columns, "_place", "_size"), label)
+    discard(told, placed)
+    return out
+
+
 def arrow_batches(spark: SparkSession, most: int) -> contextlib.AbstractContextManager[None]:
     """While it lasts, jobs hand rows to Python workers in batches of at most about that many bytes. A row is never split."""
     return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(most))

@@ -21,15 +21,13 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
-from tallyframe.llm.common import discard, materialize
+from tallyframe.llm.common import materialize, numbered
 
 ARITY = 2
 #: Levels that one round of shuffling closes: blocks of 4,096 nodes.
@@ -63,40 +61,10 @@ def widths(size: int) -> list[int]:
     return out
 
 
-def numbered(leaves: DataFrame, order: Sequence[Column], carry: Sequence[str]) -> DataFrame:
-    """leaves(tree, digest, ...) as (tree, idx, size, digest, carry): idx is the place within tree, size the tree's rows.
-
-    Rows are sorted by ranges over all trees, so a tree may span any number of tasks; equal rows are told apart by their place in the
-    written table and may span tasks as well.
-    """
-    told = materialize(leaves.select("tree", "digest", *carry, F.monotonically_increasing_id().alias("_at")), "merkle-leaves")
-    by = [F.col("tree").asc(), *order, F.col("digest").asc(), F.col("_at").asc()]
-    def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, last, seen = TaskContext.get().partitionId(), None, 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            trees = b.column("tree").to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(np.concatenate(([True], trees[1:] != trees[:-1])))
-            pos = np.arange(len(trees)) - np.repeat(starts, np.diff(np.append(starts, len(trees))))
-            if trees[0] == last:
-                pos[: starts[1] if len(starts) > 1 else len(pos)] += seen
-            last, seen = trees[-1], int(pos[-1]) + 1
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(pos), part)), pa.array(pos)], [*b.schema.names, "_part", "_pos"])
-
-    ranged = told.repartitionByRange(*by).sortWithinPartitions(*by).drop("_at")
-    schema = StructType(ranged.schema.fields[:]).add("_part", LongType()).add("_pos", LongType())
-    placed = materialize(ranged.mapInArrow(count_up, schema), "merkle-order")
-    counts = placed.groupBy("tree", "_part").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("tree").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # as many rows as tasks
-    offsets = counts.select("tree", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    sizes = counts.groupBy("tree").agg(F.sum("_n").alias("size"))
-    joined = placed.join(offsets.join(sizes, "tree"), ["tree", "_part"])
-    index = materialize(joined.select("tree", (F.col("_pos") + F.col("_before")).alias("idx"), "size", "digest", *carry), "merkle-index")
-    discard(told, placed)
-    return index
+def _index(leaves: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """leaves(tree, digest, ...) with idx, the place within tree by order, then digest, and size, the tree's leaves."""
+    placed = numbered(leaves, "tree", [*order, F.col("digest").asc()], "merkle-index")
+    return placed.withColumnsRenamed({"_place": "idx", "_size": "size"})
 
 
 def _climb(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,12 +226,12 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str = "lang", key: s
     rows = docs.select(
         tree.alias("tree"), leaf_digest(*(F.col(f"`{c}`") for c in fields)).alias("digest"), F.col(f"`{key}`").alias("_key"), *(c.alias(n) for n, c in carry.items())
     )
-    leaves = numbered(rows, [F.col("_key").asc_nulls_first()], ["_key", *carry])
+    leaves = _index(rows, [F.col("_key").asc_nulls_first()])
     nodes = nodes_of(leaves)
     lone = leaves.where("size = 1").select("tree", F.col("digest").alias("subroot"))
     tops = nodes.groupBy("tree").agg(F.max_by("digest", "level").alias("subroot"))
     subroots = materialize(lone.unionByName(tops), "merkle-subroots")
-    over = numbered(subroots.select(F.lit("over").alias("tree"), F.col("subroot").alias("digest"), F.col("tree").alias("of")), [F.col("of").asc()], ["of"])
+    over = _index(subroots.select(F.lit("over").alias("tree"), F.col("subroot").alias("digest"), F.col("tree").alias("of")), [F.col("of").asc()])
     return Manifest(leaves, nodes, subroots, over, nodes_of(over))
 
 

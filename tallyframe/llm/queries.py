@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, jaccard_join, kd_sharding, media_columns, merkle, mixing, preference_chat, quality, secret_scan, token_store, warc
+from tallyframe.llm import conversation_repair, decontaminate, jaccard_join, kd_sharding, media_columns, merkle, mixing, preference_chat, quality, secret_scan, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,11 +107,23 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by its hashes, with its faults and its repair."""
+    turns = table(spark, sf_dir, "conversations")
+    found = conversation_repair.audited(conversation_repair.damaged(turns))
+    every = turns.select("conv_id").distinct().withColumn("conv", conversation_repair.Repair.key("conv_id"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return every.join(found, "conv", "left").select(
+        "conv_id", *(zero(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_zstd, op2_secret_scan, op3_token_index, op4_jaccard_join, op5_quality_classifier, op6_media_sniffing, op7_decontamination,
-        op8_preference_chat, op9_kd_sharding, op10_temperature_mix, op11_merkle_manifest,
+        op8_preference_chat, op9_kd_sharding, op10_temperature_mix, op11_merkle_manifest, op12_conversation_repair,
     )
 }
 
