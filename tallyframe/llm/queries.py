@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import conversation_repair, decontaminate, jaccard_join, kd_sharding, media_columns, merkle, mixing, preference_chat, quality, secret_scan, token_store, warc
+from tallyframe.llm import conversation_repair, decontaminate, jaccard_join, kd_sharding, media_columns, merkle, mixing, preference_chat, quality, quality_rules, secret_scan, token_store, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,11 +119,18 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the verdict of weak supervision on all documents."""
+    told = quality_rules.judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return told.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("p_good", 6).alias("p_good"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_zstd, op2_secret_scan, op3_token_index, op4_jaccard_join, op5_quality_classifier, op6_media_sniffing, op7_decontamination,
         op8_preference_chat, op9_kd_sharding, op10_temperature_mix, op11_merkle_manifest, op12_conversation_repair,
+        op13_quality_rules,
     )
 }
 
