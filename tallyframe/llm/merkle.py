@@ -120,13 +120,13 @@ def nodes_of(index: DataFrame) -> DataFrame:
     return out
 
 
-def _block_proofs(own: pa.Table, inner: pa.Table, base: int) -> pa.Table:
-    """own(tree, block, idx, size, digest, ...), the nodes of level base in one block, with their proofs.
+def _block_proofs(own: pa.Table, inner: pa.Table, base: int, end: int) -> pa.Table:
+    """own(tree, block, idx, size, digest, ...), the nodes of level base in one block that reaches up to level end, with their proofs.
 
     inner(tree, block, level, idx, digest, above): the block's nodes of higher levels, and at level -1 the block's own proof.
     """
     wide = widths(own["size"][0].as_py())
-    top = min(base + ROUND, len(wide) - 1)
+    top = min(end, len(wide) - 1)
     places = own["idx"].to_pylist()
     digest = {(base, i): d for i, d in zip(places, own["digest"].to_pylist(), strict=True)}
     above: list[str] = []
@@ -149,8 +149,8 @@ def _block_proofs(own: pa.Table, inner: pa.Table, base: int) -> pa.Table:
     return kept.append_column("proof", pa.array([proofs[i] for i in places], pa.list_(pa.string())))
 
 
-def _at_level(base: int):
-    return lambda own, inner: _block_proofs(own, inner, base)
+def _at_level(base: int, end: int):
+    return lambda own, inner: _block_proofs(own, inner, base, end)
 
 
 def _proofs(index: DataFrame, nodes: DataFrame, above: DataFrame | None) -> DataFrame:
@@ -186,7 +186,7 @@ def _proofs(index: DataFrame, nodes: DataFrame, above: DataFrame | None) -> Data
         told = heads.select("tree", "block", F.lit(-1).alias("level"), F.lit(0).cast("long").alias("idx"), F.lit("").alias("digest"), "above")
         schema = StructType([f for f in own.schema.fields if f.name != "block"]).add("proof", ArrayType(StringType()))
         down = own.groupBy("tree", "block").cogroup(inner.unionByName(told).groupBy("tree", "block"))
-        passed = down.applyInArrow(_at_level(base), schema)
+        passed = down.applyInArrow(_at_level(base, end), schema)
         if base:
             passed = materialize(passed.select("tree", "idx", "proof"), "merkle-proofs")
     return passed

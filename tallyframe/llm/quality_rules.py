@@ -137,10 +137,9 @@ class Model:
         return 1 / (1 + F.exp(-total))
 
 
-def fit(patterns: Sequence[tuple[tuple[int, ...], int]]) -> Model:
-    """Expectation-maximisation over (votes, documents with these votes)."""
+def fit(patterns: Sequence[tuple[tuple[int, ...], int]], rules: int) -> Model:
+    """Expectation-maximisation over (votes, documents with these votes); without any it stays where it starts."""
     share, good, bad = START
-    rules = len(patterns[0][0]) if patterns else 0
     model = Model(share, (good,) * rules, (bad,) * rules)
     for _ in range(STEPS if patterns else 0):
         on_good, on_bad = [[SMOOTH, 2 * SMOOTH] for _ in range(rules)], [[SMOOTH, 2 * SMOOTH] for _ in range(rules)]
@@ -168,7 +167,7 @@ def judged(docs: DataFrame, text_col: str = "text", carry: Sequence[str] = (), r
     counted = measures(docs.select(row.alias("_row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text")))
     voted = materialize(counted.select("_row", *added[:5], F.array(*(r.vote() for r in rules)).alias("votes")), "quality-votes")
     patterns = voted.groupBy("votes").count().collect()  # at most 3 ** rules
-    model = fit(sorted((tuple(r["votes"]), r["count"]) for r in patterns))
+    model = fit(sorted((tuple(r["votes"]), r["count"]) for r in patterns), len(rules))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     told = voted.withColumn("p_good", model.posterior([F.get("votes", F.lit(i)) for i in range(len(rules))])).withColumn("base_failed", failed)
     told = told.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= THRESHOLD))

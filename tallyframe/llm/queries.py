@@ -1,4 +1,4 @@
-"""The ten operators as registered queries: thin bindings that give the columns fixed for each result."""
+"""The operators as registered queries: thin bindings that give the columns fixed for each result."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import conversation_repair, decontaminate, jaccard_join, kd_sharding, media_columns, merkle, mixing, preference_chat, quality, quality_rules, secret_scan, token_store, warc
+from tallyframe.llm import conversation_repair, decontaminate, jaccard_join, kd_sharding, media_columns, merkle, mixing, preference_chat, quality, quality_rules, secret_scan, token_store, twins, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -151,4 +151,8 @@ SELECT pair AS pair_id, n AS n_common, max(prompt) AS prompt, max(rest) FILTER (
        max(mask) FILTER (side = 0) AS chosen_mask, max(mask) FILTER (side = 1) AS rejected_mask
 FROM cut GROUP BY pair, n"""
 
-ORACLES: dict[str, str] = {"op8_preference_chat": _PAIRS_SQL}
+#: Tokens, media, spans beyond the base, the classifier, shards and mixtures are not expressible in SQL.
+ORACLES: dict[str, str] = {
+    "op1_warc_zstd": twins.WARC, "op4_jaccard_join": twins.JACCARD, "op7_decontamination": twins.CONTAMINATION, "op8_preference_chat": _PAIRS_SQL,
+    "op11_merkle_manifest": twins.MERKLE, "op12_conversation_repair": twins.REPAIR, "op13_quality_rules": twins.RULES,
+}
