@@ -5,37 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.operators.staging import staged
+
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the least node reachable. Labels travel along edges and then along labels, so long chains halve each round.
 
-    Every round the labels are checkpointed, which the cluster's shared folder must allow.
+    Every round's labels are a table in the shared folder.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).where("u <> v").distinct()
-    both = _cut(both)
+    both = staged(both, "component-edges")
     labels = both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node"))
     while True:
         named = labels.select(F.col("node").alias("v"), "component")
         near = both.join(named, "v").groupBy("u").agg(F.min("component").alias("seen"))
         lower = labels.join(near, labels["node"] == near["u"]).select("node", F.least("component", "seen").alias("component"), F.col("component").alias("was"))
         point = lower.select(F.col("node").alias("component"), F.col("component").alias("root"))
-        jumped = _cut(lower.join(point, "component").select("node", F.col("root").alias("component"), "was"))
+        jumped = staged(lower.join(point, "component").select("node", F.col("root").alias("component"), "was"), "component-labels")
         changed = not jumped.where("component <> was").isEmpty()
         labels = jumped.select("node", "component")
         if not changed:
             return labels
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named is None and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(named or "file:///tmp/checkpoints/tallyframe")
-    return df.checkpoint()
-
-
 def overlap_groups(pairs: DataFrame, least_overlap: float, least_shared: int) -> DataFrame:
     """Components over the pairs(a, b, shared, overlap) that reach both floors."""
     return connected_components(pairs.where((F.col("overlap") >= least_overlap) & (F.col("shared") >= least_shared)), "a", "b")

@@ -12,12 +12,14 @@ from pyspark.sql import Window as W
 def category_completeness(hits: DataFrame, key: str, model: str, item: str, categories: Mapping[str, str], domains: DataFrame, expected: str, counted: str) -> DataFrame:
     """(key, completeness, counted_items, total, duplication): categories by prefix of the model, with evidence.
 
-    A category counts if one of its items has no known domain or the expected one; domains is (item, domain), one row an item. total and
-    counted_items (those of the category `counted`) are distinct items a category, whatever their domain.
+    A category counts if one of its items has no known domain or the expected one; domains is (item, domain), and of an item's several
+    domains one may be the expected one. total and counted_items (those of the category `counted`) are distinct items a category, whatever their domain.
     """
     named = F.array(*(F.when(F.col(model).startswith(prefix), F.lit(c)) for c, prefix in categories.items()))
-    inside = hits.select(key, item, F.explode(F.array_compact(named)).alias("_c")).distinct().join(domains, item, "left")
-    known = F.col("domain").isNull() | (F.col("domain") == expected)
+    inside = hits.select(key, item, F.explode(F.array_compact(named)).alias("_c")).distinct().join(
+        domains.where(F.col("domain").isNotNull()).groupBy(item).agg(F.bool_or(F.col("domain") == expected).alias("_known")), item, "left"
+    )
+    known = F.coalesce("_known", F.lit(True))
     each = inside.groupBy(key, "_c").agg(F.count("*").alias("_n"), F.bool_or(known).alias("_ok"))
     total = F.coalesce(F.sum("_n"), F.lit(0))
     per = hits.select(key).distinct().join(each, key, "left").groupBy(key)

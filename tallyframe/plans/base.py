@@ -15,6 +15,8 @@ def query(sql: str | None = None):
     """Register a function (spark, sf_dir) under its name, with its SQL twin."""
 
     def put(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are named {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             ORACLES[f.__name__] = sql

@@ -15,7 +15,7 @@ c AS (SELECT DISTINCT query, cat, protein FROM hits JOIN (VALUES {_VALUES}) v(ca
 k AS (SELECT query, cat, count(*) AS n, bool_or(domain IS NULL OR domain = 'ASIA') AS ok FROM c LEFT JOIN dom USING (protein) GROUP BY ALL)
 SELECT query, count(*) FILTER (ok) || '/4' AS completeness, CAST(coalesce(sum(n) FILTER (cat = 'MCP'), 0) AS BIGINT) AS counted_items, CAST(coalesce(sum(n), 0) AS BIGINT) AS total, coalesce(sum(n), 0) / 4.0 AS duplication
 FROM (SELECT DISTINCT query FROM hits WHERE dom_score >= 50) LEFT JOIN k USING (query) GROUP BY query""")
-def panel_completeness(spark, sf):
+def category_completeness(spark, sf):
     t = lambda name: table(spark, sf, name)
     placed = (
         t("orders").where("o_orderkey % 4 > 0").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))

@@ -44,7 +44,7 @@ def patristic_distances(spark, sf):
 @query(f"WITH {_DIST} SELECT tree, a, b, dist FROM (SELECT *, row_number() OVER (PARTITION BY tree, a ORDER BY dist, b) AS k FROM dist) WHERE k = 1")
 def nearest_reference(spark, sf):
     e, q, r = _sides(spark, sf)
-    return tree.nearest_reference(tree.patristic(e, q, r))
+    return tree.nearest_below(e, q, r, tree.ancestors(e))
 
 
 @query(f"""WITH {_DIST}, g AS (SELECT *, substr(b, 4, 1) AS genome FROM dist), o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree, a, genome ORDER BY dist, b) AS k FROM g) WHERE k = 1)
@@ -72,6 +72,50 @@ def mean_pairwise_distance(spark, sf):
     return tree.clade_spread(e, e.where("leaf is not null and node % 3 > 0").select("tree", "leaf"))
 
 
+# queries here: leaves whose node's number has the remainder 0 or 1 by 5; references' labels: the part's brand, for even nodes
+_PLACED = f"""{_TREE}, ref AS (SELECT tree, node, leaf FROM leaves WHERE node % 5 > 1), qry AS (SELECT tree, node, leaf FROM leaves WHERE node % 5 <= 1),
+pd AS (SELECT a.tree, a.node AS x, b.node AS y, min(a.dist + b.dist) AS dist FROM up a JOIN up b ON a.tree = b.tree AND a.ancestor = b.ancestor
+  JOIN leaves l ON l.tree = a.tree AND l.node = a.node JOIN leaves m ON m.tree = b.tree AND m.node = b.node WHERE l.node % 5 <= 1 GROUP BY ALL),
+og AS (SELECT tree, arg_min(node, leaf) AS node FROM ref GROUP BY tree),
+-- clades on the tree rooted at the outgroup: of each edge the side without it
+og_up AS (SELECT og.tree, up.ancestor AS node FROM og JOIN up ON up.tree = og.tree AND up.node = og.node),
+sides AS (SELECT e.tree, e.node AS edge, l.node AS leaf FROM edges e JOIN og USING (tree) JOIN leaves l ON l.tree = e.tree LEFT JOIN og_up o ON o.tree = e.tree AND o.node = e.node
+  LEFT JOIN up u ON u.tree = e.tree AND u.node = l.node AND u.ancestor = e.node WHERE e.parent IS NOT NULL AND ((o.node IS NULL) = (u.node IS NOT NULL))),
+pure AS (SELECT tree, edge, count(*) AS n FROM sides GROUP BY ALL HAVING bool_and(leaf % 5 <= 1)),
+own AS (SELECT s.tree, s.leaf, max(p.n) AS size FROM sides s JOIN pure p ON p.tree = s.tree AND p.edge = s.edge GROUP BY ALL),
+mem AS (SELECT DISTINCT o.tree, o.leaf, o.size, s2.leaf AS other FROM own o JOIN sides s ON s.tree = o.tree AND s.leaf = o.leaf JOIN pure p ON p.tree = s.tree AND p.edge = s.edge AND p.n = o.size
+  JOIN sides s2 ON s2.tree = s.tree AND s2.edge = s.edge),
+cl AS (SELECT m.tree, m.leaf, m.size, min(l.leaf) AS clade_id, string_agg(l.leaf, ';' ORDER BY l.leaf) AS names FROM mem m JOIN leaves l ON l.tree = m.tree AND l.node = m.other GROUP BY ALL),
+nn AS (SELECT m.tree, m.leaf, arg_min({{'name': r.leaf, 'node': r.node, 'dist': pd.dist}}, {{'k': round(pd.dist, 9), 'n': r.leaf}}) AS b FROM mem m JOIN pd ON pd.tree = m.tree AND pd.x = m.other JOIN ref r ON r.tree = pd.tree AND r.node = pd.y GROUP BY ALL),
+sp AS (SELECT m.tree, m.leaf, avg(pd.dist) AS mean FROM mem m JOIN mem k ON k.tree = m.tree AND k.leaf = m.leaf AND m.other < k.other JOIN pd ON pd.tree = m.tree AND pd.x = m.other AND pd.y = k.other GROUP BY ALL)"""
+
+
+@query(f"""WITH {_PLACED} SELECT cl.tree, q.leaf AS query, nn.b.name AS nn_genome, coalesce('d_' || p_brand, 'unknown') AS nn_taxonomy, pd.dist AS nn_distance, CASE WHEN size > 1 THEN clade_id ELSE '' END AS clade_id,
+  CASE WHEN size > 1 THEN names ELSE '' END AS clade_members, CASE WHEN size > 1 THEN sp.mean END AS clade_mean_dist, CASE WHEN size > 1 THEN nn.b.dist END AS clade_ref_dist
+FROM cl JOIN qry q ON q.tree = cl.tree AND q.node = cl.leaf JOIN nn ON nn.tree = cl.tree AND nn.leaf = cl.leaf JOIN pd ON pd.tree = cl.tree AND pd.x = cl.leaf AND pd.y = nn.b.node
+LEFT JOIN sp ON sp.tree = cl.tree AND sp.leaf = cl.leaf LEFT JOIN (SELECT 'L' || lpad(CAST(p_partkey AS VARCHAR), 3, '0') AS leaf, p_brand FROM part WHERE p_partkey % 2 = 0 AND p_partkey < 127) lab ON lab.leaf = nn.b.name""")
+def species_placements(spark, sf):
+    e = edges(spark, sf)
+    p = table(spark, sf, "part").where("p_partkey % 2 = 0 and p_partkey < 127")
+    labels = p.select(F.concat(F.lit("L"), F.lpad(F.col("p_partkey").cast("string"), 3, "0")).alias("leaf"), F.concat(F.lit("d_"), "p_brand").alias("taxonomy"))
+    return tree.placements(e, e.where("leaf is not null and node % 5 <= 1").select("tree", "leaf"), labels)
+
+
+@query(f"""WITH {_TREE}, og AS (SELECT tree, arg_min(node, leaf) AS node FROM leaves WHERE node % 5 > 1 GROUP BY tree), path AS (SELECT up.tree, up.ancestor AS node, e.parent, e.length,
+    row_number() OVER (PARTITION BY up.tree ORDER BY up.ancestor DESC) - 1 AS h FROM og JOIN up USING (tree, node) JOIN edges e ON e.tree = up.tree AND e.node = up.ancestor),
+big AS (SELECT tree, max(node) + 1 AS new FROM edges GROUP BY tree),
+turned AS (SELECT p.tree, p.node, CASE WHEN p.h <= 1 THEN new ELSE b.node END AS parent, CASE WHEN p.h <= 1 THEN o.length / 2 ELSE b.length END AS length FROM path p JOIN big USING (tree) JOIN path o ON o.tree = p.tree AND o.h = 0
+    LEFT JOIN path b ON b.tree = p.tree AND b.h = p.h - 1),
+joined AS (SELECT tree, node, parent, length FROM turned UNION ALL SELECT tree, new, NULL, 0.0 FROM big JOIN og USING (tree) UNION ALL SELECT tree, node, parent, length FROM edges WHERE (tree, node) NOT IN (SELECT (tree, node) FROM path)),
+-- old roots are the nodes 1
+lone AS (SELECT j.tree, 1 AS node, count(*) AS n FROM joined j JOIN og USING (tree) WHERE j.parent = 1 GROUP BY j.tree HAVING count(*) = 1), gone AS (SELECT j.* FROM joined j JOIN lone USING (tree, node))
+SELECT j.tree, j.node, CAST(coalesce(g.parent, j.parent) AS INT) AS parent, j.length + coalesce(g.length, 0.0) AS length, l.leaf FROM joined j LEFT JOIN gone g ON g.tree = j.tree AND g.node = j.parent
+LEFT JOIN leaves l ON l.tree = j.tree AND l.node = j.node WHERE (j.tree, j.node) NOT IN (SELECT (tree, node) FROM gone)""")
+def rerooted_trees(spark, sf):
+    e = edges(spark, sf)
+    return tree.rerooted(e, e.where("leaf is not null and node % 5 > 1").groupBy("tree").agg(F.min("leaf").alias("leaf")))
+
+
 @query(f"""WITH {PAIRS}, ed AS (SELECT a, b FROM pairs WHERE overlap >= 0.02 AND shared >= 12), bi AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed),
 reach AS (WITH RECURSIVE r AS (SELECT a AS node, a AS seen, 0 AS d FROM bi UNION SELECT r.node, bi.b, r.d + 1 FROM r JOIN bi ON r.seen = bi.a WHERE r.d < 8) SELECT * FROM r)
 SELECT node, min(seen) AS component FROM reach GROUP BY node""")
