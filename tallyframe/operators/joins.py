@@ -139,3 +139,14 @@ def donors(bases: DataFrame, pool: DataFrame, key: str, family: str, order: str,
         out.join(near("_f", family, "_fam"), key, "left").join(near("_o", order, "_ord"), key, "left")
         .select(key, F.coalesce("_fam", "_ord").alias("related"), "divergent")
     )
+
+
+def prefix_join(names: DataFrame, name: str, prefixes: DataFrame, prefix: str) -> DataFrame:
+    """names' and prefixes' columns for each name that starts with a prefix. Column names must differ; null matches nothing.
+
+    A name is cut at each length that some prefix has, as many as the longest prefix has characters, and met by equality.
+    """
+    lengths = [r[0] for r in prefixes.where(F.col(prefix).isNotNull()).select(F.length(prefix)).distinct().collect()]
+    cuts = F.filter(F.array(*(F.lit(n) for n in sorted(lengths))).cast("array<int>"), lambda n: n <= F.length(name))
+    heads = names.withColumn("_cut", F.explode(cuts)).withColumn("_head", F.substring(F.col(name), F.lit(1), F.col("_cut")))
+    return heads.join(prefixes, F.col("_head") == prefixes[prefix]).drop("_cut", "_head")

@@ -107,3 +107,25 @@ def override_baseline(df: DataFrame, key: str, code: str, metrics: Sequence[str]
     joined = base.join(lead, key, "left")
     chosen = F.when(F.coalesce(wins, F.lit(False)), F.col(code)).otherwise(F.lit(baseline))
     return joined.select(key, chosen.alias(code))
+
+
+def override_in_order(df: DataFrame, keys: Sequence[str], code: str, codes: Sequence[str], hits: str, score: str, density: str, margin: float = 1.02) -> DataFrame:
+    """(keys, best): codes are tried one after the other against the best so far, beginning with the first one, the base.
+
+    A code wins with more hits, or as many and a higher score, or as many and the same score and a density above margin times the base's.
+    A base without density stays. What wins depends on the order, so the few rows of a key are folded as one array.
+    """
+    place = F.array_position(F.array(*(F.lit(c) for c in codes)), F.col(code))
+    rows = df.where(place > 0).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(place.alias("p"), F.col(hits).alias("h"), F.col(score).alias("s"), F.col(density).alias("d")))).alias("_r"))
+    base = F.filter("_r", lambda r: r["p"] == 1)[0]["d"]
+    told = rows.where(F.exists("_r", lambda r: r["p"] == 1)).withColumn("_base", base)
+    first = F.col("_r")[0]
+
+    def step(best, r):
+        level = (r["h"] == best["h"]) & (r["s"] == best["s"])
+        wins = (r["h"] > best["h"]) | ((r["h"] == best["h"]) & (r["s"] > best["s"])) | (level & (r["d"] > best["b"] * margin))
+        return F.when((best["b"] > 0) & wins, F.struct(r["p"].alias("p"), r["h"].alias("h"), r["s"].alias("s"), best["b"].alias("b"))).otherwise(best)
+
+    start = F.struct(first["p"].alias("p"), first["h"].alias("h"), first["s"].alias("s"), F.col("_base").alias("b"))
+    won = F.aggregate(F.slice("_r", 2, len(codes)), start, step, lambda best: best["p"])
+    return told.select(*keys, F.element_at(F.array(*(F.lit(c) for c in codes)), won.cast("int")).alias("best"))

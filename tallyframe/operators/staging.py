@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """df as a table below spark.checkpoint.dir; only local mode may go on without that setting."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path below spark.checkpoint.dir; only local mode may go on without that setting."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file:///tmp/checkpoints/tallyframe"
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder."""
+    spark = df.sparkSession
+    path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,9 +6,10 @@ import functools
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.operators.joins import prefix_join
 from tallyframe.operators.rank import best, top_n
 from tallyframe.operators.staging import staged
 
@@ -140,6 +141,27 @@ def nearest_below(edges: DataFrame, queries: DataFrame, references: DataFrame, u
     return one.select("tree", "a", F.col("n.name").alias("b"), F.col("n.dist").alias("dist"))
 
 
+def top_k_neighbors(edges: DataFrame, queries: DataFrame, prefixes: DataFrame, genome: Column, k: int) -> DataFrame:
+    """(tree, query, genome, leaf, dist, rank): for each of queries(tree, query) the k genomes whose leaves are nearest to its own.
+
+    A query's leaves start with its name; neighbours start with one of prefixes(prefix) and are not the query's. genome is an expression of
+    leaf. A genome counts by its nearest leaf, the first by name among equals; equal genomes go by name.
+    """
+    each = queries.select("tree", "query").distinct()
+    copies = edges.join(each, "tree").withColumn("_t", F.concat_ws("\x1f", "tree", "query"))  # a tree with several queries is searched for each
+    leaves = copies.where("leaf is not null").select("_t", "query", "leaf")
+    own = F.startswith(F.col("leaf"), F.col("query"))
+    asked = leaves.where(own).select(F.col("_t").alias("tree"), "leaf")
+    kept = prefix_join(leaves.where(~own).select(F.col("_t").alias("tree"), "leaf"), "leaf", prefixes.select("prefix").distinct(), "prefix").select("tree", "leaf").distinct()
+    alone = copies.select(F.col("_t").alias("tree"), "node", "parent", "length", "leaf")
+    near = nearest_below(alone, kept, asked, ancestors(alone)).select("tree", F.col("a").alias("leaf"), "dist")
+    named = near.withColumn("genome", genome)
+    one = best(named, ["tree", "genome"], ["dist", "leaf"])
+    ranked = top_n(one, ["tree"], [F.col("dist").asc(), F.col("genome").asc()], k, "rank")
+    told = each.withColumn("_t", F.concat_ws("\x1f", "tree", "query"))
+    return ranked.withColumnRenamed("tree", "_t").join(told, "_t").select("tree", "query", "genome", "leaf", "dist", F.col("rank").cast("int").alias("rank"))
+
+
 def query_clades(edges: DataFrame, queries: DataFrame, up: DataFrame | None = None) -> DataFrame:
     """(tree, node, members, size): the maximal clades whose leaves are all queries(tree, leaf)."""
     members = _clade_members(edges, queries, ancestors(edges) if up is None else up)

@@ -1,6 +1,7 @@
 """All registered queries of the reference's own operators, with their SQL twins."""
 
 from tallyframe.plans import (  # noqa: F401
+    access_queries,
     aggregate_queries,
     join_queries,
     panel_queries,
