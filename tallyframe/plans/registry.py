@@ -2,6 +2,7 @@
 
 from tallyframe.plans import (  # noqa: F401
     access_queries,
+    evidence_queries,
     aggregate_queries,
     join_queries,
     panel_queries,
