@@ -3,6 +3,7 @@
 from tallyframe.plans import (  # noqa: F401
     access_queries,
     evidence_queries,
+    file_queries,
     grid_queries,
     aggregate_queries,
     join_queries,
