@@ -175,6 +175,17 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """df's rows as one struct column _row, with further columns: whatever names df has, none can clash with them."""
+    row = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)))
+    return df.select(row.alias("_row"), *(c.alias(n) for n, c in more.items()))
+
+
+def unpacked(df: DataFrame, drop: Sequence[str] = ()) -> list[Column]:
+    """df's own columns, but for those in drop, out of packed(df)."""
+    return [F.col(f"_row.c{i}").alias(c) for i, c in enumerate(df.columns) if c not in drop]
+
+
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
     """Distinct hashes of k consecutive words, sorted; of fewer words, their whole sequence as one."""
     words = word_hashes(text)

@@ -10,15 +10,18 @@ of an item; an item of fewer words, but some, is one window.
 
 Defined cases: null or wordless text has no words and is clean; repeated rows and repeated ids are judged by id (an id's
 rows are told apart by a hash of their text); an empty benchmark hits nothing; null item ids are left out of items_sha256;
-extra columns are ignored.
+extra columns are ignored, or kept by drop_contaminated, whatever their names; texts of any length count whole; windows equally
+rare are taken in order of place.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import materialize
+from tallyframe.llm.common import materialize, packed, unpacked
 
 #: Rows of a table from the benchmark up to which it may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 100_000
@@ -59,12 +62,17 @@ class PositionalIndex:
     def counts(self, terms: DataFrame, n_terms: int) -> DataFrame:
         """How often each of terms(term) occurs in the training text; terms that never occur are left out."""
         every = self.docs.select(F.explode(words(F.col("text"))).alias("term"))
-        return every.join(_small(terms, n_terms), "term").groupBy("term").agg(F.count("*").alias("cf"))
+        if n_terms <= BROADCAST_ROWS:
+            return every.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("cf"))
+        return every.groupBy("term").agg(F.count("*").alias("cf")).join(terms, "term")  # each task counts first, so common words are few rows
 
     def postings(self, terms: DataFrame, n_terms: int) -> DataFrame:
         """(term, id, hash, pos) of the given terms."""
         every = self.docs.select("id", F.xxhash64("text").alias("hash"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
-        return every.join(_small(terms, n_terms), "term")
+        parts = -(-n_terms // BROADCAST_ROWS) or 1
+        # beyond a broadcast's size the terms go in parts, each met where the words are: words are never shuffled
+        met = (every.join(F.broadcast(terms.where(F.pmod(F.xxhash64("term"), F.lit(parts)) == i) if parts > 1 else terms), "term") for i in range(parts))
+        return functools.reduce(DataFrame.unionByName, met)
 
 
 def phrase_matches(docs: DataFrame, found_windows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -164,6 +172,8 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without the contaminated rows, same columns."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    judged = contamination(docs, benchmark, **options).where("contaminated").select(F.col(id_col).alias("_tf_id"), F.col("hash").alias("_tf_hash")).distinct()
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    return docs.join(judged, docs[id_col].eqNullSafe(F.col("_tf_id")) & (F.xxhash64(text) == F.col("_tf_hash")), "left_anti")
+    judged = contamination(docs, benchmark, **options).where("contaminated").select(F.col(id_col).alias("id"), "hash").distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = packed(docs, id=F.col(id_col), hash=F.xxhash64(text))
+    same = F.col("r.id").eqNullSafe(F.col("j.id")) & (F.col("r.hash") == F.col("j.hash"))
+    return rows.alias("r").join(judged.alias("j"), same, "left_anti").select(unpacked(docs))

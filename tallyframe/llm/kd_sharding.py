@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyframe.llm.common import materialize
+from tallyframe.llm.common import materialize, packed, unpacked
 
 #: Parts of a histogram.
 PARTS = 256
@@ -182,23 +182,22 @@ def shard(
     key = F.coalesce(F.sha2(text, 256), F.lit(""))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
     hot = placed.where(F.col("n") * HOT > n).select(F.col("key").alias("_tf_hot"), F.col("shard").alias("_tf_hot_shard"))
-    tagged = docs.withColumns({"_size": size, "_tf_key": key}).join(F.broadcast(hot), F.col("_tf_key") == F.col("_tf_hot"), "left")
+    tagged = packed(docs, _size=size, _tf_key=key, _tf_id=F.coalesce(F.col(id_col).cast("string"), F.lit(""))).join(F.broadcast(hot), F.col("_tf_key") == F.col("_tf_hot"), "left")
     # rows of hot texts have their shard already: they go where their id sends them and meet nothing
-    apart = F.concat(F.lit("#"), F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("string"))
+    apart = F.concat(F.lit("#"), F.xxhash64("_tf_id").cast("string"))
     met = tagged.withColumn("_tf_join", F.when(F.col("_tf_hot").isNull(), F.col("_tf_key")).otherwise(apart))
     met = met.join(placed.select(F.col("key").alias("_tf_join"), F.col("shard").alias("_tf_shard")), "_tf_join", "left")
     rows = met.withColumn("_shard", F.coalesce("_tf_hot_shard", "_tf_shard"))
-    own = [c for c in docs.columns if c not in ("_size", "_shard", "_slot")]
-    return _slots(rows, own, id_col, n)
+    return _slots(rows, unpacked(docs, ("_size", "_shard", "_slot")), n)
 
 
-def _slots(rows: DataFrame, columns: list[str], id_col: str, n: int) -> DataFrame:
+def _slots(rows: DataFrame, columns: list[Column], n: int) -> DataFrame:
     buckets = max(1, n // BUCKET_ROWS)
-    own = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_tf_key")
+    own = F.xxhash64("_tf_id", "_tf_key")
     rows = rows.withColumns({"_tf_own": own, "_tf_bucket": F.pmod(own, F.lit(buckets)).cast("int")})
     counts = rows.groupBy("_shard", "_tf_bucket").agg(F.count("*").alias("_tf_n"))
     before = W.partitionBy("_shard").orderBy("_tf_bucket").rowsBetween(W.unboundedPreceding, -1)
     bases = counts.select("_shard", "_tf_bucket", F.coalesce(F.sum("_tf_n").over(before), F.lit(0)).alias("_tf_base"))
     numbered = rows.withColumn("_tf_rn", F.row_number().over(W.partitionBy("_shard", "_tf_bucket").orderBy("_tf_own")) - 1)
     joined = numbered.join(bases, ["_shard", "_tf_bucket"])
-    return joined.select(*(F.col(f"`{c}`") for c in columns), "_size", "_shard", (F.col("_tf_base") + F.col("_tf_rn")).alias("_slot"))
+    return joined.select(*columns, "_size", "_shard", (F.col("_tf_base") + F.col("_tf_rn")).alias("_slot"))

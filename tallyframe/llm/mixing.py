@@ -8,7 +8,7 @@ seeded permutations, and the partial pass takes blocks, then rows of the block a
 
 Defined cases: null or blank text has 0 tokens and its rows go with whole passes, or with the partial one if its place in
 the permutation comes before the cut; a null source is a source of its own; repeated rows are rows of their own; an empty table gives
-an empty mixture; extra columns are kept.
+an empty mixture; extra columns are kept, whatever their names; texts of any length count whole.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyframe.llm.common import materialize
+from tallyframe.llm.common import materialize, packed, unpacked
 
 #: Rows of a block, about.
 BLOCK_ROWS = 2_000
@@ -136,9 +136,8 @@ def temperature_mix(docs: DataFrame, mix: Mix, source_col: str = "source", id_co
     ends = took(last).select("d.*", "c.before").withColumn("upto", F.coalesce(F.sum("tokens").over(in_block), F.lit(0)) + F.col("before"))
     chosen = from_whole.unionByName(ends.where("upto < partial").select("source", "key")).select("source", "key", F.lit(1).alias("extra"))
 
-    added = ("_tokens", "_epoch", "_block", "_slot")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
-    plus = docs.select(*kept, tokens_of(F.col(text_col)).alias("_tokens"), key.alias("_tf_key"), F.col(source_col).cast("string").alias("_tf_source"))
+    kept = unpacked(docs, ("_tokens", "_epoch", "_block", "_slot"))
+    plus = packed(docs, _tokens=tokens_of(F.col(text_col)), _tf_key=key, _tf_source=F.col(source_col).cast("string"))
     told = shared.select(F.col("source").alias("_tf_s"), F.col("passes").alias("_tf_passes"), F.col("n").alias("_tf_n"), (F.col("partial") > 0).alias("_tf_open"))
     sized = plus.join(told, F.col("_tf_source").eqNullSafe(F.col("_tf_s"))).drop("_tf_s")
     extra = chosen.select(F.col("source").alias("_tf_s"), F.col("key").alias("_tf_k"), F.col("extra").alias("_tf_extra"))

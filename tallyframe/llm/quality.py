@@ -8,7 +8,7 @@ share the weights. The model gives the expected grade and the tail probability P
 Ratings are graded from labels: 0 toxic, 1 low quality, 2 good. The model is fitted on a bounded sample of the labelled rows (SAMPLE_ROWS of
 each grade, those whose hashed ids come first), weighted to the grades' numbers among all labels. Most slots are words that a few texts
 have by chance; only those get a weight whose counts depart from independence of the grade (log-likelihood ratio) by more than the
-largest departure expected of so many slots by chance, MOST_SLOTS of them at most. The strength of the squared penalty is the one under which
+largest departure expected of so many slots by chance. The strength of the squared penalty is the one under which
 models of each half of the sample, with slots chosen on that half alone, give the other half the greatest likelihood. Every row of
 the corpus is scored over its whole text.
 
@@ -34,8 +34,6 @@ from tallyframe.llm.common import fresh, materialize, mix, run_hashes
 GRADES = 3
 #: The bound of the fitting sample: so many labelled rows of each grade at most.
 SAMPLE_ROWS = 2_500
-#: The bound of the model: so many slots have a weight at most.
-MOST_SLOTS = 8_192
 SLOT_BITS = 30
 STRENGTHS = (0.03, 0.1, 0.3, 1.0, 3.0)
 STEPS = 300
@@ -179,7 +177,7 @@ def _chosen_slots(rows: DataFrame, totals: np.ndarray) -> pd.DataFrame:
     sizes = {"all": (0, 1), "half0": (0,), "half1": (1,)}
     scored_slots = counts.select("slot", *((of(h) if totals[:, list(h)].sum() else F.lit(0.0)).alias(name) for name, h in sizes.items()))
     best = F.greatest(*sizes)
-    kept = scored_slots.where(best > limit).orderBy(best.desc(), "slot").limit(MOST_SLOTS)
+    kept = scored_slots.where(best > limit)
     return kept.select("slot", *((F.col(name) > limit).alias(name) for name in sizes)).toPandas().sort_values("slot")
 
 

@@ -257,3 +257,30 @@ def test_bindings_give_the_contracts_columns(spark, sf):
 def test_pipeline_runs(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.count() > 0 and {"doc_id", "shard", "slot"} <= set(out.columns)
+
+
+#: Names that operators and stages use inside, or once used.
+INSIDE = (
+    "_tf_key", "_tf_source", "_tf_times", "_tf_id", "_tf_hash", "_tf_shard", "_tf_join", "_tf_own", "_tf_bucket", "_tf_rn", "_tf_base", "_tf_hot", "_tf_p", "_tf_open", "_tf_n", "_tf_passes", "_tf_extra", "_tf_s", "_tf_k",
+    "_row", "key", "id", "at", "blank", "hash", "_text", "_place", "_size_", "c0", "passes", "tokens", "partial", "n", "w", "first", "b", "node", "cls", "comp",
+)
+
+
+def test_stages_keep_columns_of_any_name(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    wide = docs.select("*", *(F.concat(F.lit(f"{c}/"), "doc_id").alias(c) for c in INSIDE))
+    for name, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, wide, sf)
+        rows = kept.select("doc_id", *INSIDE).collect()
+        assert rows, name
+        assert all(r[c] == f"{c}/{r.doc_id}" for r in rows for c in INSIDE), name
+
+
+def test_near_copies_and_repeats(spark, sf):
+    """Copies under several ids, under none, repeated rows and blank ones: the smallest id's row stays once."""
+    base = " ".join(f"w{i}" for i in range(200))
+    near = base.replace("w100", "other")
+    rows = [(5, base), (5, base), (9, base), (None, base), (7, near), (3, "alone in the world of texts"), (3, "alone in the world of texts"), (None, "no id here but words enough"), (None, "no id here but words enough"), (1, ""), (1, ""), (2, " \n"), (None, ""), (None, ""), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id or 0, r.text or "") for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()))
+    assert got == sorted([(5, base), (3, "alone in the world of texts"), (0, "no id here but words enough"), (1, ""), (2, " \n"), (0, ""), (0, ""), (4, "")])
