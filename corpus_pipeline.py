@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import decontaminate, jaccard_join, kd_sharding, mixing, quality
-from tallyframe.llm.common import materialize, scratch
+from tallyframe.llm.common import materialize, packed, scratch, unpacked
 from tallyframe.llm.queries import MIX, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,20 +34,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Texts are linked by a hash of the text, not by id, so an id's several texts are judged apart and rows without id link too. Rows
     without shingles link with nothing and stay, but for repeats of one id and text.
     """
-    keyed = docs.withColumn("_tf_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = jaccard_join.jaccard_components(keyed, "_tf_key", k=5, num=80, den=100).distinct()
-    texts = keyed.groupBy("_tf_key").agg(F.min("doc_id").alias("_tf_first"), F.count("*").alias("n"))
-    judged = materialize(found.join(texts, "_tf_key"), "near-copies")
-    linked = judged.where("n_shingles > 0")
-    best = linked.groupBy("component_id").agg(F.min(F.struct(F.col("_tf_first").isNull(), "_tf_first", "_tf_key")).alias("best"))
-    extra = linked.join(best, "component_id").where("_tf_key <> best._tf_key").select("_tf_key")
-    blank = F.col("n_shingles") == 0
-    several = judged.where("n > 1").select("_tf_key", "_tf_first", blank.alias("_tf_blank"))
-    kept = keyed.join(extra, "_tf_key", "left_anti")
-    copies = kept.join(several, "_tf_key").where("_tf_blank or doc_id <=> _tf_first")
-    lone = F.col("_tf_blank") & F.col("doc_id").isNull()
-    parts = (kept.join(several, "_tf_key", "left_anti"), copies.where(lone), copies.where(~lone).dropDuplicates(["doc_id", "_tf_key", "text"]))
-    return functools.reduce(DataFrame.unionByName, (p.select(docs.columns) for p in parts))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    named = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    rows = packed(docs, key=F.xxhash64(text), id=F.col("doc_id"), at=named, blank=F.translate(text, " \t\n\x0b\f\r", "") == "")
+    found = jaccard_join.jaccard_components(docs.select(F.xxhash64(text).alias("key"), text.alias("text")), "key", k=5, num=80, den=100).distinct()
+    firsts = rows.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at")).alias("first"))
+    linked = found.where("n_shingles > 0").join(firsts, "key")
+    best = linked.groupBy("component_id").agg(F.min(F.struct("first.none", "first.id", "key", "first.at")).alias("b"))
+    chosen = materialize(best.select("b.key", "b.at"), "near-copies")
+    # rows meet the choice by text and id, so copies of one text do not meet in one task; rows equal in both are one
+    worded = rows.where("not blank").join(chosen, ["key", "at"], "left_semi").dropDuplicates(["key", "at"])
+    bare = rows.where("blank and at <> ''").dropDuplicates(["key", "at"])
+    parts = (worded, bare, rows.where("blank and at = ''"))
+    return functools.reduce(DataFrame.unionByName, (p.select(unpacked(docs)) for p in parts))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
