@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalars import fixed_text
@@ -50,3 +50,24 @@ def combine(tables: Sequence[DataFrame]) -> DataFrame:
 
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*(F.col(a).alias(b) for a, b in names.items()))
+
+
+def candidate_table(contigs: DataFrame, bins: DataFrame, key: str = "bin") -> DataFrame:
+    """contigs with a reason, in bins(key, type, estimate) that are called contaminated: clean and uncertain bins have no candidates.
+
+    What a bin had before is gone when the table is written anew, so nothing stale stays.
+    """
+    called = bins.where(~F.col("type").isin("clean", "uncertain", "uncertain_sensitive_mode"))
+    return contigs.where("reason is not null").join(called.select(key, "type", "estimate"), key)
+
+
+def placement_table(rows: DataFrame) -> DataFrame:
+    """tree.placements() as text: six decimals, null as blank, sorted columns of the taxonomy table."""
+    six = lambda c: F.coalesce(F.format_string("%.6f", F.col(c)), F.lit(""))
+    show = lambda c: F.when(F.col(c).isNull(), "").otherwise(six(c)).alias(c)
+    return rows.select("query", "nn_genome", "nn_taxonomy", show("nn_distance"), "clade_id", "clade_members", show("clade_mean_dist"), show("clade_ref_dist"))
+
+
+def read_table(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """What write_table() wrote: every column as text, blank for nothing."""
+    return spark.read.option("header", True).option("sep", sep).option("nullValue", "\u0000").option("emptyValue", "").csv(path).na.fill("")

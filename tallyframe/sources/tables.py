@@ -104,3 +104,35 @@ def best_source(sources: list[DataFrame], key: str) -> DataFrame:
     for s in sources[1:]:
         out = out.unionByName(s.join(out.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
     return out
+
+
+def neighbours(lines: DataFrame) -> DataFrame:
+    """(marker, protein, neighbor, distance) of tree neighbour tables: the header and rows whose distance is no number are passed over.
+
+    Of a neighbour's several distances in one file format the last line counts where lines have their place as column `row`, else the largest.
+    """
+    rows = fields(lines).where((F.size("f") >= 4) & (at(0) != "marker"))
+    place = "row" if "row" in lines.columns else None
+    told = rows.select(at(0).alias("marker"), at(1).alias("protein"), at(2).alias("neighbor"), at(3, "double").alias("distance"), *([place] if place else [])).where("distance is not null")
+    last = F.max_by("distance", F.struct("row", "distance")) if place else F.max("distance")
+    return told.groupBy("marker", "protein", "neighbor").agg(last.alias("distance"))
+
+
+def marker_groups(lines: DataFrame, flags: list[str]) -> DataFrame:
+    """(group, model) of lookups with name, six columns, flag at the seventh and members at the eighth place: groups of the flags with two members or more."""
+    rows = fields(lines).where((F.size("f") >= 8) & (at(0) != "group_name") & at(6).isin(*flags))
+    members = F.filter(F.split(at(7), ";"), lambda m: m != "")
+    return rows.select(at(0).alias("group"), members.alias("m")).where(F.size("m") >= 2).select("group", F.explode("m").alias("model"))
+
+
+def json_files(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
+    """(path, columns of schema): one object for each file; files that are not read as one are left out."""
+    raw = spark.read.option("wholetext", True).text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("j"))
+    return raw.where("j is not null and j._bad is null").select("path", "j.*").drop("_bad")
+
+
+def long_hits(lines: DataFrame, least: int = 16) -> DataFrame:
+    """(target, model, model_len, score, dom_score, model_from, model_to) of domain tables with at least so many fields between blanks."""
+    rows = lines.where(~F.startswith(F.col("value"), F.lit("#"))).withColumn("f", F.split(F.trim("value"), r"\s+")).where(F.size("f") >= least)
+    places = {"target": (0, "string"), "model": (3, "string"), "model_len": (5, "int"), "score": (7, "double"), "dom_score": (13, "double"), "model_from": (15, "int"), "model_to": (16, "int")}
+    return rows.select(*(at(i, kind).alias(c) for c, (i, kind) in places.items())).where("score is not null and dom_score is not null")
