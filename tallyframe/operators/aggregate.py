@@ -124,3 +124,32 @@ def average_precision(df: DataFrame, truth: Column, score: str, keys: Sequence[s
 
 def mean_error(df: DataFrame, truth: str, guess: str, keys: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*keys).agg(F.avg(F.abs(F.col(truth) - F.col(guess))).alias("mae"), F.count("*").alias("n"))
+
+
+def baselines(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
+    """(keys, baseline_mean, baseline_median, n_refs): to four digits."""
+    four = lambda c: F.round(F.round(c, 9), 4)
+    return df.groupBy(*keys).agg(four(F.avg(score)).alias("baseline_mean"), four(F.median(score)).alias("baseline_median"), F.count("*").alias("n_refs"))
+
+
+def mean_or_zero(df: DataFrame, entities: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, mean) for every row of entities; 0 where there is nothing to average."""
+    sums = df.groupBy(*keys).agg(F.avg(value).alias("mean"))
+    return entities.select(*keys).distinct().join(sums, list(keys), "left").withColumn("mean", F.coalesce("mean", F.lit(0.0)))
+
+
+def means(df: DataFrame, keys: Sequence[str], values: Sequence[str], digits: int = 2) -> DataFrame:
+    """(keys, values): the mean of each value."""
+    return df.groupBy(*keys).agg(*(F.round(F.round(F.avg(v), 9), digits).alias(v) for v in values))
+
+
+def largest(df: DataFrame, keys: Sequence[str], part: str, size: str) -> DataFrame:
+    """(keys, part, size): the part with the largest sum of sizes, the first by name among equals."""
+    sums = df.groupBy(*keys, part).agg(F.sum(size).alias("_s"))
+    top = sums.groupBy(*keys).agg(F.min(F.struct((-F.col("_s")).alias("o"), F.col(part).alias("p"))).alias("_t"))
+    return top.select(*keys, F.col("_t.p").alias(part), (-F.col("_t.o")).alias(size))
+
+
+def foreign_size(base: Column, share: Column, least: int = 2000) -> Column:
+    """How much must be added to base so that it makes up the share of the whole; at least `least`. Ties to even."""
+    return F.greatest(F.lit(least), F.bround(base * share / F.greatest(1.0 - share, F.lit(1e-9)))).cast("long")

@@ -138,3 +138,27 @@ def top_two_shares(counts: DataFrame, keys: Sequence[str], value: str, n: str =
     ranked = counts.withColumn("_rn", F.row_number().over(w))
     pick = lambda k: F.coalesce(F.max(F.when(F.col("_rn") == k, F.col(n))), F.lit(0))
     return ranked.groupBy(*keys).agg(pick(1).alias("top_n"), pick(2).alias("second_n"), F.sum(n).alias("total"))
+
+
+def capsid_tally(placed: DataFrame, query: str, marker: str, item: str, neighbor: str, distance: str, family: str, phylum: str, families: Sequence[str], phyla: Sequence[str]) -> DataFrame:
+    """(query, tally): 'type:n' by n descending, then type, of items by the type of their nearest neighbour.
+
+    The type is the neighbour's family if it is one of families, else its phylum if that is one of phyla. Of an item's several markers
+    the nearest one with a type counts; markers at the same distance that disagree drop the item. Queries without types give no row.
+    """
+    nearest = placed.groupBy(query, marker, item).agg(F.min(F.struct(distance, neighbor, family, phylum)).alias("_n"))
+    fam, phy = F.trim(F.col(f"_n.{family}")), F.trim(F.col(f"_n.{phylum}"))
+    typed = nearest.select(query, item, F.col(f"_n.{distance}").alias("_d"), F.when(fam.isin(*families), fam).when(phy.isin(*phyla), phy).alias("_t")).where("_t is not null")
+    each = typed.groupBy(query, item, "_d").agg(F.min("_t").alias("_t"), F.count_distinct("_t").alias("_k"))
+    one = each.groupBy(query, item).agg(F.min(F.struct("_d", "_t", "_k")).alias("_m")).where("_m._k = 1")
+    counts = one.groupBy(query, F.col("_m._t").alias("_t")).agg(F.count("*").alias("_c"))
+    listed = counts.groupBy(query).agg(F.array_sort(F.collect_list(F.struct((-F.col("_c")).alias("o"), "_t"))).alias("_l"))
+    return listed.select(query, F.array_join(F.transform("_l", lambda x: F.concat_ws(":", x["_t"], (-x["o"]).cast("string"))), ",").alias("tally"))
+
+
+def half_consensus(votes: DataFrame, keys: Sequence[str], value: str, n: str | None = None) -> DataFrame:
+    """(keys, value): the most frequent value that is not blank, if at least half of these votes have it, ties by value; else no row."""
+    count = F.sum(n) if n else F.count("*")
+    counted = votes.where(F.trim(value) != "").groupBy(*keys, F.trim(value).alias(value)).agg(count.alias("_n"))
+    top = counted.groupBy(*keys).agg(F.min(F.struct((-F.col("_n")).alias("o"), F.col(value).alias("v"))).alias("_t"), F.sum("_n").alias("_all"))
+    return top.where(-F.col("_t.o") * 2 >= F.col("_all")).select(*keys, F.col("_t.v").alias(value))

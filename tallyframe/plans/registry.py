@@ -7,6 +7,7 @@ from tallyframe.plans import (  # noqa: F401
     grid_queries,
     aggregate_queries,
     join_queries,
+    misc_queries,
     panel_queries,
     rank_queries,
     scalar_queries,
