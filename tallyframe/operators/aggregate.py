@@ -46,14 +46,31 @@ def medians(df: DataFrame, keys: Sequence[str], *values: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"), *(F.median(v).alias(f"median_{v}") for v in values))
 
 
-def prevalence(counts: DataFrame, group: str, marker: str, genome: str, n: str) -> DataFrame:
+def prevalence(counts: DataFrame, group: str, marker: str, genome: str, n: str, markers: Sequence[str] | None = None) -> DataFrame:
     """(group, marker, n_genomes, with_marker, copies, mean_copy): genomes of the group, those with the marker, its copies, and these over
-    all genomes of the group, absent counting as 0."""
+    all genomes of the group, absent counting as 0. With a list of markers each group has a row for each of them, also where no genome has it."""
     genomes = counts.groupBy(group).agg(F.count_distinct(genome).alias("n_genomes"))
     present = counts.where(F.col(n) > 0).groupBy(group, marker).agg(F.count_distinct(genome).alias("with_marker"), F.sum(n).alias("copies"))
+    if markers is not None:
+        grid = genomes.select(group, F.explode(F.array(*(F.lit(m) for m in markers))).alias(marker))
+        present = grid.join(present, [group, marker], "left").na.fill(0, ["with_marker", "copies"])
     return present.join(genomes, group).withColumn("mean_copy", F.col("copies") / F.col("n_genomes"))
 
 
+def pivot_best(df: DataFrame, key: str, column: str, values: Sequence[str], score: str) -> DataFrame:
+    """A column of the highest score for each value, 0 where none."""
+    cells = df.groupBy(key).pivot(column, list(values)).agg(F.max(score))
+    return cells.select(key, *(F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(v.replace("#", "_").replace(" ", "_")) for v in values))
+
+
+def assembly_stats(contigs: DataFrame, genes: DataFrame, keys: Sequence[str], seq: str, length: str) -> DataFrame:
+    """(keys, contigs, bases, gc_percent, genes, coding_percent) of contigs with sequences and genes with lengths; percentages to two digits, 0 of nothing."""
+    share = lambda a, b: F.round(F.round(F.coalesce(F.try_divide(a * 100.0, b), F.lit(0.0)), 9), 2)
+    called = genes.groupBy(*keys).agg(F.count("*").alias("genes"), F.sum(length).alias("_coding"))
+    told = sequence_stats(contigs, keys, seq).join(called, list(keys), "left").na.fill(0, ["genes", "_coding"])
+    return told.select(*keys, "contigs", "bases", share(F.col("gc"), F.col("bases")).alias("gc_percent"), "genes", share(F.col("_coding"), F.col("bases")).alias("coding_percent"))
+
+
 def single_parent(df: DataFrame, child: str, parent: str) -> DataFrame:
     """(child, parent) for children that map to one parent only."""
     pairs = df.select(child, parent).where(F.col(child).isNotNull() & F.col(parent).isNotNull())

@@ -53,3 +53,23 @@ def group_flags(groups: DataFrame, notes: DataFrame) -> DataFrame:
     coherence = F.coalesce(F.try_divide(F.col("n_top") * 1.0, F.col("annotated")), F.lit(0.0))
     flag = F.when(F.col("annotated") == 0, "no_annotation").when((F.col("annotated") >= 3) & (coherence < 0.6), "REVIEW_mixed").otherwise("ok")
     return out.select("component", "n_members", "annotated", coherence.alias("coherence"), "dominant", flag.alias("flag"))
+
+
+def recut(groups: DataFrame, drop: DataFrame, dissolve: DataFrame, splits: DataFrame, force: DataFrame) -> DataFrame:
+    """(node, component, forced): groups(node, component) after expert corrections; only groups of two or more are left.
+
+    A component with a node of dissolve(node) goes. One with the seed of splits(seed, piece, node) is replaced by that seed's pieces, of its
+    own nodes only, named `component/piece`; the first seed by name counts. From the others the nodes of drop(node) go; they are forced if a
+    node of force(node) was in them.
+    """
+    has = lambda nodes: groups.join(nodes.select("node"), "node", "left_semi").select("component").distinct()
+    open_ = groups.join(has(dissolve), "component", "left_anti")
+    seeds = splits.select(F.col("seed").alias("node")).distinct()
+    split = open_.join(seeds, "node").groupBy("component").agg(F.min("node").alias("seed"))
+    pieces = open_.join(split, "component").join(splits.select("seed", "piece", "node"), ["seed", "node"])
+    cut = pieces.select("node", F.concat_ws("/", F.col("component").cast("string"), F.col("piece").cast("string")).alias("component"), F.lit(False).alias("forced"))
+    forced = has(force).withColumn("forced", F.lit(True))
+    rest = open_.join(split.select("component"), "component", "left_anti").join(drop.select("node"), "node", "left_anti").join(forced, "component", "left")
+    out = rest.select("node", F.col("component").cast("string").alias("component"), F.coalesce("forced", F.lit(False)).alias("forced")).unionByName(cut)
+    whole = out.groupBy("component").agg(F.count("*").alias("_n")).where("_n >= 2").select("component")
+    return out.join(whole, "component", "left_semi").select("node", "component", "forced")

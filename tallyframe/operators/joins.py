@@ -110,6 +110,13 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return new.unionByName(old.join(new.select(*keys).distinct(), list(keys), "left_anti"), allowMissingColumns=True)
 
 
+def combined_runs(expected: DataFrame, old: DataFrame, new: DataFrame, key: str, status: str = "status") -> DataFrame:
+    """upsert() of two runs, and a row of status 'missing_summary' for each key of expected that neither has."""
+    have = upsert(old, new, [key])
+    lost = expected.select(key).distinct().join(have.select(key), key, "left_anti").withColumn(status, F.lit("missing_summary"))
+    return have.unionByName(lost, allowMissingColumns=True)
+
+
 def unresolved(evidence: DataFrame, id_col: str, aliases: DataFrame, alias: str, target: str, active: DataFrame, active_col: str) -> DataFrame:
     """(status, id): evidence ids that resolve to no active one, and active ids without evidence."""
     via = mapped(evidence.select(id_col).distinct(), id_col, aliases, alias, target).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,11 +95,12 @@ def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[Column], val
     return df.withColumn(name, F.max(value).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
 
 
-def override_baseline(df: DataFrame, key: str, code: str, metrics: Sequence[str], baseline, wins: Column, preference: Sequence[int]) -> DataFrame:
+def override_baseline(df: DataFrame, key: str, code: str, metrics: Sequence[str], baseline, wins: Column, preference: Sequence[int], digits: Mapping[str, int] | None = None) -> DataFrame:
     """The top-ranked candidate of each key replaces the baseline candidate only if `wins` holds.
 
-    `wins` may use the metric columns, and each with the suffix _base for the baseline's.
+    `wins` may use the metric columns, and each with the suffix _base for the baseline's. Metrics named in digits are rounded before all else.
     """
+    df = df.withColumns({m: F.round(m, d) for m, d in (digits or {}).items()})
     place = F.array_position(F.array(*(F.lit(p) for p in preference)), F.col(code))
     order = [F.col(m).desc() for m in metrics] + [place.asc()]
     base = df.where(F.col(code) == baseline).select(key, *(F.col(m).alias(f"{m}_base") for m in metrics))

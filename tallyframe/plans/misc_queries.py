@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import aggregate, rewrite, sets, vote
+from tallyframe.operators import aggregate, graph, joins, rank, rewrite, sets, vote
 from tallyframe.plans.base import HITS, PLACEMENTS, hits, placements, query, table
 
 # names in five forms; every third part has an alias, by its name, its name with a contig, or its name before the bar
@@ -102,3 +102,61 @@ def ordered_names(spark, sf):
     mapping = F.create_map(F.lit("1-URGENT"), F.lit("high"), F.lit("2-HIGH"), F.lit("high"))
     lists = table(spark, sf, "orders").groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))), lambda x: x["o_orderpriority"]).alias("l"))
     return lists.select("o_custkey", sets.ordered_unique(F.col("l"), mapping).alias("l"))
+
+
+# groups are parts of one size; those with part 3 go, those with part 5 or 8 are split by their brand's remainder, every ninth part is dropped
+@query("""WITH g AS (SELECT p_partkey AS node, p_size AS component, CAST(substr(p_brand, 7) AS INT) % 3 AS piece FROM part), gone AS (SELECT DISTINCT component FROM g WHERE node = 3), o AS (SELECT * FROM g WHERE component NOT IN (SELECT component FROM gone)),
+sp AS (SELECT component, min(node) AS seed FROM o WHERE node IN (5, 8) GROUP BY component), f AS (SELECT DISTINCT component FROM g WHERE node % 40 = 0),
+a AS (SELECT node, component || '/' || piece AS component, false AS forced FROM o JOIN sp USING (component) WHERE piece < 2 UNION ALL SELECT node, CAST(component AS VARCHAR), component IN (SELECT component FROM f) FROM o WHERE component NOT IN (SELECT component FROM sp) AND node % 9 > 0)
+SELECT node, component, forced FROM a WHERE component IN (SELECT component FROM a GROUP BY component HAVING count(*) >= 2)""")
+def recut_groups(spark, sf):
+    p = table(spark, sf, "part")
+    groups = p.select(F.col("p_partkey").alias("node"), F.col("p_size").alias("component"))
+    piece = F.substring("p_brand", 7, 9).cast("int") % 3
+    pieces = p.where(piece < 2).select(F.explode(F.array(F.lit(5), F.lit(8))).cast("long").alias("seed"), piece.alias("piece"), F.col("p_partkey").alias("node"))
+    return graph.recut(groups, groups.where("node % 9 = 0"), groups.where("node = 3"), pieces, groups.where("node % 40 = 0"))
+
+
+@query("""WITH n AS (SELECT c_custkey, 'complete' AS status, 'new' AS run FROM customer WHERE c_custkey % 5 = 0), o AS (SELECT c_custkey, 'complete' AS status, 'old' AS run FROM customer WHERE c_custkey % 3 = 0)
+SELECT * FROM n UNION ALL SELECT * FROM o WHERE c_custkey NOT IN (SELECT c_custkey FROM n) UNION ALL SELECT c_custkey, 'missing_summary', NULL FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 5 > 0 AND c_custkey % 3 > 0""")
+def combined_runs(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey")
+    run = lambda n, name: c.where(f"c_custkey % {n} = 0").select("c_custkey", F.lit("complete").alias("status"), F.lit(name).alias("run"))
+    return joins.combined_runs(c.where("c_custkey % 2 = 0"), run(3, "old"), run(5, "new"), "c_custkey")
+
+
+_MARKERS = ["Brand#1", "Brand#2", "Brand#77"]
+
+
+@query("""WITH c AS (SELECT n_regionkey AS grp, p_brand AS marker, l_suppkey AS genome, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity >= 45 GROUP BY ALL),
+g AS (SELECT grp, count(DISTINCT genome) AS n_genomes FROM c GROUP BY grp), v(marker) AS (VALUES ('Brand#1'), ('Brand#2'), ('Brand#77'))
+SELECT grp, marker, n_genomes, count(DISTINCT genome) AS with_marker, CAST(coalesce(sum(n), 0) AS BIGINT) AS copies, coalesce(sum(n), 0) / n_genomes AS mean_copy FROM g CROSS JOIN v LEFT JOIN c USING (grp, marker) GROUP BY ALL""")
+def prevalence_of_listed(spark, sf):
+    items = table(spark, sf, "lineitem").where("l_quantity >= 45").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    placed = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("grp"))
+    counts = items.join(placed, "l_suppkey").groupBy("grp", F.col("p_brand").alias("marker"), F.col("l_suppkey").alias("genome")).agg(F.count("*").alias("n"))
+    return aggregate.prevalence(counts, "grp", "marker", "genome", "n", _MARKERS)
+
+
+@query(f"""WITH {HITS} SELECT query, coalesce(max(seq_score) FILTER (model = 'Brand#1'), 0) AS Brand_1, coalesce(max(seq_score) FILTER (model = 'Brand#2'), 0) AS Brand_2, coalesce(max(seq_score) FILTER (model = 'Brand#77'), 0) AS Brand_77 FROM hits GROUP BY query""")
+def best_score_pivot(spark, sf):
+    return aggregate.pivot_best(hits(spark, sf), "query", "model", _MARKERS, "seq_score")
+
+
+@query("""WITH c AS (SELECT source, count(*) AS contigs, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS bases, sum(length(coalesce(text, '')) - length(translate(coalesce(text, ''), 'GCgc', ''))) AS gc FROM documents GROUP BY source),
+g AS (SELECT source, count(*) AS genes, sum(n_chars // 2) AS coding FROM documents WHERE doc_id % 3 > 0 AND source <> 'src5' GROUP BY source)
+SELECT source, contigs, bases, CAST(round(CAST(coalesce(gc * 100.0 / nullif(bases, 0), 0) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS gc_percent, coalesce(genes, 0) AS genes, CAST(round(CAST(coalesce(coalesce(coding, 0) * 100.0 / nullif(bases, 0), 0) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS coding_percent FROM c LEFT JOIN g USING (source)""")
+def assembly_statistics(spark, sf):
+    docs = table(spark, sf, "documents")
+    genes = docs.where("doc_id % 3 > 0 and source <> 'src5'").select("source", F.expr("n_chars div 2").alias("n"))
+    return aggregate.assembly_stats(docs, genes, ["source"], "text", "n")
+
+
+# hits, score and density of a supplier's line numbers; density counts to the whole hundred
+@query("""WITH c AS (SELECT l_suppkey AS q, l_linenumber AS code, CAST(count(*) % 4 AS BIGINT) AS hits, round(avg(l_tax) * 10, 0) AS density FROM lineitem GROUP BY ALL), b AS (SELECT q, hits AS h, density AS d FROM c WHERE code = 1),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY hits DESC, density DESC, list_position([3, 2, 4, 5, 6, 7], code)) AS k FROM c WHERE code <> 1) WHERE k = 1)
+SELECT b.q, CAST(CASE WHEN l.hits > h OR (l.hits = h AND l.density > d) THEN l.code ELSE 1 END AS INT) AS code FROM b LEFT JOIN l ON l.q = b.q""")
+def code_choice_rounded(spark, sf):
+    stats = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("q"), F.col("l_linenumber").alias("code")).agg((F.count("*") % 4).alias("hits"), (F.avg("l_tax") * 10).alias("density"))
+    wins = (F.col("hits") > F.col("hits_base")) | ((F.col("hits") == F.col("hits_base")) & (F.col("density") > F.col("density_base")))
+    return rank.override_baseline(stats, "q", "code", ["hits", "density"], 1, wins, [3, 2, 4, 5, 6, 7], {"density": 0})
