@@ -113,7 +113,7 @@ def recut_groups(spark, sf):
     p = table(spark, sf, "part")
     groups = p.select(F.col("p_partkey").alias("node"), F.col("p_size").alias("component"))
     piece = F.substring("p_brand", 7, 9).cast("int") % 3
-    pieces = p.where(piece < 2).select(F.explode(F.array(F.lit(5), F.lit(8))).cast("long").alias("seed"), piece.alias("piece"), F.col("p_partkey").alias("node"))
+    pieces = p.where(piece < 2).select(F.explode(F.array(F.lit(5).cast("long"), F.lit(8).cast("long"))).alias("seed"), piece.alias("piece"), F.col("p_partkey").alias("node"))
     return graph.recut(groups, groups.where("node % 9 = 0"), groups.where("node = 3"), pieces, groups.where("node % 40 = 0"))
 
 
@@ -130,7 +130,7 @@ _MARKERS = ["Brand#1", "Brand#2", "Brand#77"]
 
 @query("""WITH c AS (SELECT n_regionkey AS grp, p_brand AS marker, l_suppkey AS genome, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity >= 45 GROUP BY ALL),
 g AS (SELECT grp, count(DISTINCT genome) AS n_genomes FROM c GROUP BY grp), v(marker) AS (VALUES ('Brand#1'), ('Brand#2'), ('Brand#77'))
-SELECT grp, marker, n_genomes, count(DISTINCT genome) AS with_marker, CAST(coalesce(sum(n), 0) AS BIGINT) AS copies, coalesce(sum(n), 0) / n_genomes AS mean_copy FROM g CROSS JOIN v LEFT JOIN c USING (grp, marker) GROUP BY ALL""")
+SELECT grp, marker, n_genomes, count(DISTINCT genome) AS with_marker, CAST(coalesce(sum(n), 0) AS BIGINT) AS copies, coalesce(sum(n), 0) / n_genomes AS mean_copy FROM g CROSS JOIN v LEFT JOIN c USING (grp, marker) GROUP BY grp, marker, n_genomes""")
 def prevalence_of_listed(spark, sf):
     items = table(spark, sf, "lineitem").where("l_quantity >= 45").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     placed = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("grp"))
