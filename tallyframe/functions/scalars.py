@@ -189,3 +189,32 @@ def whole_genome_size(residues: Column) -> Column:
 def wrapped(x: Column, width: int = 80) -> Column:
     """Lines of at most width characters."""
     return F.regexp_replace(F.regexp_replace(x, f"(.{{{width}}})", "$1\n"), "\n$", "")
+
+
+def version_label(x: Column) -> Column:
+    """A version with a v before its number; 'unknown' for nothing; other texts as they are, but for 'unknown' and 'not installed' in lower case."""
+    text = F.trim(F.coalesce(x, F.lit("")))
+    return (
+        F.when(text == "", "unknown").when(F.lower(text).isin("unknown", "not installed"), F.lower(text)).when(text.rlike("^[0-9]"), F.concat(F.lit("v"), text)).otherwise(text)
+    )
+
+
+def prefix_slug(prefixes: Column) -> Column:
+    """A file name's part for an array of prefixes: lower case, other characters as underscores, joined; 'refs' for nothing."""
+    clean = lambda p: F.regexp_replace(F.regexp_replace(F.lower(F.replace(p, F.lit("-"), F.lit("_"))), "[^a-z0-9_]+", "_"), "^_+|_+$", "")
+    joined = F.array_join(F.filter(F.transform(prefixes, clean), lambda p: p != ""), "_")
+    return F.when(joined == "", "refs").otherwise(joined)
+
+
+#: Between sequences of one training text, and behind the last of several: stops in all frames.
+SPACER = "TTAATTAATTAA"
+
+
+def training_text(sequences: Column) -> Column:
+    """An array of sequences as one text, in order, in which no gene can span two."""
+    return F.concat(F.array_join(sequences, SPACER), F.when(F.size(sequences) > 1, SPACER).otherwise(""))
+
+
+def first_given(*settings: Column) -> Column:
+    """The first setting that is neither null nor blank: flag, environment, file, default."""
+    return F.coalesce(*(F.when(F.trim(s) != "", s) for s in settings))

@@ -18,11 +18,16 @@ def simulated_subsets(sets: DataFrame, key: str, member: str, levels: Sequence[f
     grid = F.array(*(F.struct(F.lit(lv).alias("level"), F.lit(r).alias("repeat")) for lv in levels for r in range(repeats)))
     sizes = sets.groupBy(key).agg(F.count_distinct(member).alias("_n"))
     each = sets.select(key, member).distinct().join(sizes, key).select(key, member, "_n", F.explode(grid).alias("g")).select(key, member, "_n", "g.*")
-    drawn = F.row_number().over(_window([key, "level", "repeat"], F.xxhash64(F.lit(seed), key, "level", "repeat", member), member))
-    need = F.greatest(F.round(F.col("_n") * F.col("level")), F.lit(1))
+    drawn = F.row_number().over(_window([key, "level", "repeat"], _order(seed, key, "level", "repeat", member), F.col(member)))
+    need = F.greatest(F.bround(F.col("_n") * F.col("level")), F.lit(1))
     return each.withColumn("_rn", drawn).where(F.col("_rn") <= need).select(key, "level", "repeat", member)
 
 
+def _order(seed: int, *parts: str) -> Column:
+    """A text by which rows are in seeded order, the same wherever it is computed."""
+    return F.md5(F.concat_ws(":", F.lit(seed).cast("string"), *(F.col(p).cast("string") for p in parts)).cast("binary"))
+
+
 def _window(keys, *order):
     from pyspark.sql import Window as W
 
@@ -31,12 +36,12 @@ def _window(keys, *order):
 
 def capped_sample(df: DataFrame, key: str, cap: int, unit: Sequence[str], seed: int = 42) -> DataFrame:
     """At most cap rows of each key, in hashed order: the feature of this operator."""
-    return top_n(df, [key], [F.xxhash64(F.lit(seed), *unit).asc(), *(F.col(u).asc() for u in unit)], cap)
+    return top_n(df, [key], [_order(seed, *unit).asc(), *(F.col(u).asc() for u in unit)], cap)
 
 
 def folds(df: DataFrame, group: str, n: int, seed: int = 42) -> DataFrame:
     """fold: rows of one group share a fold."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), group), F.lit(n)).cast("int"))
+    return df.withColumn("fold", F.pmod(F.conv(F.substring(_order(seed, group), 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int"))
 
 
 def choose_regressor(df: DataFrame, features: Sequence[str], target: str, group: str, n_folds: int = 3, seed: int = 42):

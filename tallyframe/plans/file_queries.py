@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import summary, tree
+from tallyframe.functions.scalars import fixed_text
+from tallyframe.operators import rank, summary, tree
 from tallyframe.operators.staging import shared_path, staged
 from tallyframe.plans.base import query, table
 from tallyframe.sources import archives, sequences, tables
@@ -216,3 +217,42 @@ def pending_inputs(spark, sf):
     inputs = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.md5(F.col("c_name").cast("binary")).alias("checksum"))
     known = _manifest(spark, sf).join(inputs, "key").withColumn("checksum", F.when(F.col("key") % 11 == 0, "old").otherwise(F.col("checksum")))
     return progress.pending(inputs, known, "key", "checksum")
+
+
+# one tree: leaves of part 1 to 127, every third a query
+@query("""WITH RECURSIVE e AS (SELECT CAST(p_partkey AS INT) AS node, CASE WHEN p_partkey > 1 THEN CAST(p_partkey // 2 AS INT) END AS parent, p_size * 1.0 AS length FROM part WHERE p_partkey BETWEEN 1 AND 127), up AS (SELECT node, node AS a, 0.0::DOUBLE AS d, parent, length FROM e UNION ALL
+  SELECT up.node, e.node, up.d + up.length, e.parent, e.length FROM up JOIN e ON e.node = up.parent),
+d AS (SELECT x.node AS q, y.node AS r, min(x.d + y.d) AS dist FROM up x JOIN up y USING (a) WHERE x.node >= 64 AND y.node >= 64 AND x.node % 4 = 0 AND y.node % 4 > 0 GROUP BY ALL),
+n AS (SELECT q, arg_min(r, {'k': round(dist, 9), 'r': r}) AS r, min(dist) AS dist FROM d GROUP BY q)
+SELECT 'L' || lpad(CAST(q AS VARCHAR), 3, '0') AS query, 'L' || lpad(CAST(r AS VARCHAR), 3, '0') AS nn_genome, 'unknown' AS nn_taxonomy, printf('%.6f', dist) AS nn_distance, '' AS clade_id, '' AS clade_members, '' AS clade_mean_dist, '' AS clade_ref_dist FROM n""")
+def placement_file(spark, sf):
+    """Lone queries' placements as the taxonomy table, written and read back."""
+    p = table(spark, sf, "part").where("p_partkey between 1 and 127")
+    node = F.col("p_partkey").cast("int")
+    leaf = F.when(node >= 64, F.concat(F.lit("L"), F.lpad(node.cast("string"), 3, "0")))
+    e = p.select(F.lit("t").alias("tree"), node.alias("node"), F.when(node > 1, F.expr("cast(p_partkey div 2 as int)")).alias("parent"), (F.col("p_size") * 1.0).cast("double").alias("length"), leaf.alias("leaf"))
+    asked = e.where("leaf is not null and node % 4 = 0").select("tree", "leaf")
+    none = spark.createDataFrame([], "leaf string, taxonomy string")
+    path = shared_path(spark, "placements")
+    summary.write_table(summary.placement_table(tree.placements(e, asked, none)), path, "\t", "query")
+    return summary.read_table(spark, path, "\t")
+
+
+@query("""WITH c AS (SELECT l_suppkey AS q, l_linenumber AS code, count(*) AS genes, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bases, CAST(count(*) % 5 AS BIGINT) AS hits, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) / 1000.0 AS density FROM lineitem GROUP BY ALL)
+SELECT CAST(q AS VARCHAR) AS q, CAST(row_number() OVER (PARTITION BY q ORDER BY hits DESC, bases DESC, code) AS VARCHAR) AS place, CAST(code AS VARCHAR) AS ttable, CAST(genes AS VARCHAR) AS genes, CAST(bases AS VARCHAR) AS bases, printf('%.3f', density) AS density, CAST(hits AS VARCHAR) AS complete FROM c""")
+def gene_call_table(spark, sf):
+    """Codes of each query, the best first, as a table of text, written and read back."""
+    total = F.sum(F.col("l_quantity").cast("long"))
+    c = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("q"), F.col("l_linenumber").alias("ttable")).agg(F.count("*").alias("genes"), total.alias("bases"), (F.count("*") % 5).alias("complete"), (total / 1000.0).alias("density"))
+    placed = rank.ordinal(c, ["q"], [F.desc("complete"), F.desc("bases"), F.asc("ttable")], "place")
+    shown = placed.select("q", "place", "ttable", "genes", "bases", fixed_text(F.col("density"), 3).alias("density"), "complete")
+    path = shared_path(spark, "gene-calls")
+    summary.write_table(summary.rendered(shown, []), path, "\t", "q")
+    return summary.read_table(spark, path, "\t")
+
+
+@query("""SELECT 'D' || p_partkey AS label, [coalesce(CASE WHEN p_partkey % 3 > 0 THEN p_brand END, ''), p_type, '', '', '', '', ''] AS ranks FROM part""")
+def label_store(spark, sf):
+    """Labels of the Parquet store as lines, blanks for nulls, written and scanned."""
+    p = table(spark, sf, "part").select(F.concat(F.lit("D"), F.col("p_partkey").cast("string")).alias("label"), F.when(F.col("p_partkey") % 3 > 0, F.col("p_brand")).alias("r1"), F.col("p_type").alias("r2"))
+    return tables.labels(_file(spark, tables.label_lines(staged(p, "labels"), "label", ["r1", "r2"]), "label-lines"))

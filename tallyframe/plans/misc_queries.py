@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import aggregate, graph, joins, rank, rewrite, sets, vote
+from tallyframe.functions import scalars
+from tallyframe.operators import aggregate, graph, joins, ml, rank, rewrite, sets, vote
 from tallyframe.plans.base import HITS, PLACEMENTS, hits, placements, query, table
 
 # names in five forms; every third part has an alias, by its name, its name with a contig, or its name before the bar
@@ -160,3 +161,59 @@ def code_choice_rounded(spark, sf):
     stats = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("q"), F.col("l_linenumber").alias("code")).agg((F.count("*") % 4).alias("hits"), (F.avg("l_tax") * 10).alias("density"))
     wins = (F.col("hits") > F.col("hits_base")) | ((F.col("hits") == F.col("hits_base")) & (F.col("density") > F.col("density_base")))
     return rank.override_baseline(stats, "q", "code", ["hits", "density"], 1, wins, [3, 2, 4, 5, 6, 7], {"density": 0})
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, p_brand AS b, p_type AS t, p_name AS n FROM part)
+SELECT k, CASE WHEN k % 3 > 0 THEN b || '__' || t ELSE t END AS taxon, replace(n, 'r', '-') AS gaps, CASE WHEN k % 2 = 0 THEN k || '.1' END AS accession, CASE WHEN k % 4 = 0 THEN n ELSE printf('%d.50', k) END AS cell, [b, t, '', ''] AS padded, b AS attribute,
+  CASE k % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN 'v' || k WHEN 2 THEN 'not installed' WHEN 3 THEN 'v1.2' ELSE 'dev' END AS label, CASE k % 3 WHEN 0 THEN 'ncldv_euk_pev_e' WHEN 1 THEN 'refs' ELSE lower(replace(b, '#', '_')) END AS slug, CASE WHEN k % 2 = 0 THEN b ELSE coalesce(nullif(CASE WHEN k % 3 = 0 THEN n ELSE ' ' END, ' '), t) END AS setting,
+  'QUERY__' || n AS spaced, n AS bare, CASE WHEN k % 6 = 0 THEN [1, 20, 3] END AS version FROM p""")
+def text_helpers(spark, sf):
+    p = table(spark, sf, "part")
+    k = F.col("p_partkey")
+    s, text = scalars, k.cast("string")
+    version = F.when(k % 5 == 0, "").when(k % 5 == 1, text).when(k % 5 == 2, "Not Installed").when(k % 5 == 3, " v1.2 ").otherwise("dev")
+    prefixes = F.when(k % 3 == 0, F.array(F.lit("NCLDV__"), F.lit("EUK-pEV/E__"))).when(k % 3 == 1, F.array(F.lit("__"))).otherwise(F.array("p_brand"))
+    return p.select(
+        k.alias("k"), s.taxon_key(F.when(k % 3 > 0, F.col("p_brand")).otherwise(""), F.col("p_type")).alias("taxon"), s.stops_as_gaps(F.replace("p_name", F.lit("r"), F.lit("*"))).alias("gaps"),
+        s.accession(F.concat(F.lit("x GCA_"), text, F.when(k % 2 == 0, F.lit("-1")).otherwise(F.lit("")))).alias("accession"), s.only_numeric(F.when(k % 4 == 0, F.col("p_name")).otherwise(F.concat(text, F.lit(".499999"))), 2).alias("cell"),
+        s.padded_lineage(F.concat_ws("|", "p_brand", "p_type"), ranks=4).alias("padded"), s.attributes(F.concat(F.lit("ID="), "p_brand", F.lit(";x=1;")))["ID"].alias("attribute"), s.version_label(version).alias("label"), s.prefix_slug(prefixes).alias("slug"),
+        s.first_given(F.when(k % 2 == 0, F.col("p_brand")), F.when(k % 3 == 0, F.col("p_name")).otherwise(" "), F.col("p_type")).alias("setting"), rewrite.namespaced(F.col("p_name"), F.lit(True)).alias("spaced"),
+        rewrite.without_namespace(rewrite.namespaced(F.col("p_name"), k % 2 == 0)).alias("bare"), s.version_parts(F.when(k % 6 == 0, "v1.20.3").otherwise("1.x")).alias("version"),
+    )
+
+
+@query("""WITH t AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%dT%H%M%S') AS run, lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS a, translate(lpad(CAST(o_custkey AS VARCHAR), 8, '0'), '7', '-') AS b FROM orders),
+c AS (SELECT k, run, count(*) FILTER (x <> '-' AND y <> '-' AND x = y) AS matches, count(*) FILTER (x <> '-' AND y <> '-' AND x <> y) AS mismatches, count(*) FILTER (x = '-' OR y = '-') AS gaps FROM (SELECT k, run, unnest(string_split(a, '')) AS x, unnest(string_split(b, '')) AS y FROM t) GROUP BY ALL) SELECT * FROM c""")
+def alignment_identity(spark, sf):
+    o = table(spark, sf, "orders")
+    found = scalars.identity(F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.translate(F.lpad(F.col("o_custkey").cast("string"), 8, "0"), "7", "-"))
+    return o.select(F.col("o_orderkey").alias("k"), scalars.run_id(F.col("o_orderdate")).alias("run"), found.alias("f")).select("k", "run", "f.matches", "f.mismatches", "f.gaps")
+
+
+@query("""SELECT p_brand, string_agg(p_name, 'TTAATTAATTAA' ORDER BY p_partkey) || CASE WHEN count(*) > 1 THEN 'TTAATTAATTAA' ELSE '' END AS text FROM part WHERE p_size > 25 GROUP BY p_brand""")
+def training_texts(spark, sf):
+    lists = table(spark, sf, "part").where("p_size > 25").groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))).alias("l"))
+    return lists.select("p_brand", scalars.training_text(F.col("l.p_name")).alias("text"))
+
+
+@query("""WITH s AS (SELECT DISTINCT l_suppkey AS k, p_brand AS m FROM lineitem JOIN part ON l_partkey = p_partkey), g AS (SELECT s.*, level, rep, count(*) OVER (PARTITION BY k, level, rep) AS n, row_number() OVER (PARTITION BY k, level, rep ORDER BY md5('42:' || k || ':' || level || ':' || rep || ':' || m), m) AS i
+  FROM s, (VALUES (0.25::DOUBLE), (0.5::DOUBLE)) a(level), (VALUES (0), (1)) b(rep)) SELECT k, level, rep AS repeat, m FROM g WHERE i <= greatest(round_even(n * level, 0), 1)""")
+def simulated_subsets(spark, sf):
+    s = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("k"), F.col("p_brand").alias("m")).distinct()
+    return ml.simulated_subsets(s, "k", "m", [0.25, 0.5], 2)
+
+
+@query("""SELECT o_orderstatus, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('42:' || o_orderkey), o_orderkey) AS i FROM orders) WHERE i <= 200""")
+def capped_sample(spark, sf):
+    return ml.capped_sample(table(spark, sf, "orders"), "o_orderstatus", 200, ["o_orderkey"]).select("o_orderstatus", "o_orderkey")
+
+
+@query("""SELECT o_orderkey, CAST(CAST('0x' || substr(md5('42:' || o_custkey), 1, 8) AS BIGINT) % 5 AS INT) AS fold FROM orders""")
+def group_folds(spark, sf):
+    return ml.folds(table(spark, sf, "orders"), "o_custkey", 5).select("o_orderkey", "fold")
+
+
+@query("""WITH m AS (SELECT s_nationkey, median(s_acctbal) AS m, count(*) AS n FROM supplier GROUP BY s_nationkey), d AS (SELECT s.*, m, n, abs(s_acctbal - m) AS d FROM supplier s JOIN m USING (s_nationkey)), a AS (SELECT s_nationkey, median(d) AS mad FROM d GROUP BY s_nationkey)
+SELECT s_suppkey, CASE WHEN n >= 3 AND mad > 0 AND d * 0.6745 > mad * 1.0 THEN s_acctbal * 0.5 ELSE s_acctbal END AS damped FROM d JOIN a USING (s_nationkey)""")
+def damped_outliers(spark, sf):
+    return ml.damp_outliers(table(spark, sf, "supplier"), ["s_nationkey"], "s_acctbal", 3, 1.0).select("s_suppkey", "damped")

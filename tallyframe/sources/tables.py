@@ -136,3 +136,8 @@ def long_hits(lines: DataFrame, least: int = 16) -> DataFrame:
     rows = lines.where(~F.startswith(F.col("value"), F.lit("#"))).withColumn("f", F.split(F.trim("value"), r"\s+")).where(F.size("f") >= least)
     places = {"target": (0, "string"), "model": (3, "string"), "model_len": (5, "int"), "score": (7, "double"), "dom_score": (13, "double"), "model_from": (15, "int"), "model_to": (16, "int")}
     return rows.select(*(at(i, kind).alias(c) for c, (i, kind) in places.items())).where("score is not null and dom_score is not null")
+
+
+def label_lines(store: DataFrame, label: str, ranks: list[str]) -> DataFrame:
+    """(value) lines of a label file from the typed store: a tab behind the label, bars between ranks, nothing for null."""
+    return store.select(F.concat(F.col(label), F.lit("\t"), F.concat_ws("|", *(F.coalesce(F.col(r), F.lit("")) for r in ranks))).alias("value"))
