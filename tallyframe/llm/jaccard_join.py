@@ -20,7 +20,7 @@ from an aggregation, and the rows join it.
 
 Defined cases: null or blank text has no shingles and links with nothing; repeated rows and copies are one class;
 a row without id shares its copies' component but no text is fetched by it: a class of such rows alone stays apart, its component null;
-extra columns are ignored.
+texts of any length count whole; tokens equally frequent are ordered by their hash; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Sizes are UTF-8 bytes of the text plus 1. Slots number a shard's rows without ga
 buckets of bounded size, and the buckets' counts are summed up.
 
 Defined cases: null text has size 1; null metadata counts as the least value; repeated rows each have a slot of their own; an empty table
-gives no rows; a text with more than a shard's bytes stays whole; extra columns are kept by shard().
+gives no rows; a text with more than a shard's bytes stays whole; points equal on all metadata are told apart by a hash of the text;
+extra columns are kept by shard(), whatever their names.
 """
 
 from __future__ import annotations

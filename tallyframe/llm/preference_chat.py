@@ -10,7 +10,8 @@ Turns are one array for each conversation, ordered by turn; built-in functions c
 
 Defined cases: null role is "user", null text is empty; turns with equal number are ordered by role, then text; repeated rows are
 turns of their own; turns without a number come first; conversations without id are left out; a pair with one side has the whole of
-it as completion and null for the other; a pair of equal conversations has two empty completions; an empty table gives no rows.
+it as completion and null for the other; a pair of equal conversations has two empty completions; an empty table gives no rows;
+texts of any length are rendered whole; extra columns are ignored.
 """
 
 from __future__ import annotations

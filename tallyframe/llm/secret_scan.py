@@ -5,7 +5,8 @@ scanned, findings or not. A scan takes every version of every path, keeps the pa
 text for each, appends the pairs, and joins findings back to all paths by blob.
 
 Defined cases: null text is the empty blob; repeated rows and copies are scanned once and reported for each row; a path
-may be null; extra columns are ignored; an empty table gives an empty ledger.
+may be null; texts of any length are scanned whole; spans that start at one place are ordered by the rules' rank; extra columns are
+ignored; an empty table gives an empty ledger.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ others are revisits that refer to it and have no payload.
 
 Defined cases: null payload is empty; a null id is left out of the record's headers and never is the largest; repeated rows
 with the largest id are responses each; a null url is left out, control characters in it are percent-encoded; an empty
-table gives no archives; extra columns are ignored.
+table gives no archives; a payload of any length is one record of its own frame; extra columns are ignored.
 """
 
 from __future__ import annotations
