@@ -124,7 +124,9 @@ def running_before(per: DataFrame, score: str, sums: Sequence[str], keys: Sequen
 
 
 def auroc(df: DataFrame, truth: Column, score: str, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, auroc): by sums over distinct scores, ties counted half; only the distinct scores are ranked."""
+    """(keys, auroc): by sums over distinct scores, ties counted half; only the distinct scores are ranked. Rows without score rank lowest.
+
+    Cuts between ranges of scores are measured while the plan is built, over all keys together."""
     per = df.groupBy(*keys, score).agg(F.count_if(truth).alias("pos"), F.count_if(~truth).alias("neg"))
     below = running_before(per, score, ["neg"], keys)
     won = F.sum(F.col("pos") * (2 * F.col("before_neg") + F.col("neg")))
@@ -132,7 +134,7 @@ def auroc(df: DataFrame, truth: Column, score: str, keys: Sequence[str] = ()) ->
 
 
 def average_precision(df: DataFrame, truth: Column, score: str, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, average_precision): precision at each distinct score from the highest on, weighted by the positives there."""
+    """(keys, average_precision): precision at each distinct score from the highest on, weighted by the positives there. Rows without score come last."""
     per = df.groupBy(*keys, score).agg(F.count_if(truth).alias("pos"), F.count("*").alias("n"))
     run = running_before(per, score, ["pos", "n"], keys, descending=True)
     tp, called = F.col("before_pos") + F.col("pos"), F.col("before_n") + F.col("n")
