@@ -137,16 +137,20 @@ def ratio_text(n: Column, total: Column) -> Column:
 def fixed_text(x: Column, digits: int) -> Column:
     """A number with at most three fixed digits: NaN as NaN, null as blank. The exact binary value is rounded, ties to even.
 
-    The fraction of a double is a whole number of 2 ** -52 parts once it is 1 or more, so integers do the rounding.
+    The fraction is taken as two whole numbers of 32 bits, so that integers do the rounding; bits beyond 2 ** -64 only break ties.
     """
     if not 0 <= digits <= 3:
         raise ValueError("between 0 and 3 digits")
-    v, one = F.abs(x.cast("double")), 1 << 52
+    v, word = F.abs(x.cast("double")), 1 << 32
     whole = F.floor(v).cast("long")
-    parts = ((v - F.floor(v)) * F.lit(float(one))).cast("long") * 10**digits
-    kept, rest = F.shiftright(parts, 52), parts.bitwiseAND(F.lit(one - 1))
+    upper = (v - F.floor(v)) * F.lit(float(word))
+    lower = (upper - F.floor(upper)) * F.lit(float(word))
+    low = F.floor(lower).cast("long") * 10**digits
+    high = F.floor(upper).cast("long") * 10**digits + F.shiftright(low, 32)
+    kept, rest, more = F.shiftright(high, 32), high.bitwiseAND(F.lit(word - 1)), (low.bitwiseAND(F.lit(word - 1)) > 0) | (lower > F.floor(lower))
     odd = F.pmod(kept if digits else whole, F.lit(2)) == 1
-    kept = kept + ((rest > one // 2) | ((rest == one // 2) & odd)).cast("long")
+    half = rest == word // 2
+    kept = kept + ((rest > word // 2) | (half & (more | odd))).cast("long")
     full = kept == 10**digits  # the fraction rounds up to 1
     text = F.concat(F.when(x < 0, "-").otherwise(""), (whole + full.cast("long")).cast("string"))
     if digits:

@@ -13,6 +13,7 @@ from tallyframe.plans import (  # noqa: F401
     scalar_queries,
     score_queries,
     structure_queries,
+    summary_queries,
     vote_queries,
 )
 from tallyframe.plans.base import ORACLES, QUERIES
