@@ -40,7 +40,7 @@ r AS (SELECT *, 0.38 * cell + 0.12 * phage_ + 0.2 * dup_ + 0.3 * mix AS sc, grea
 SELECT query, CAST(round(sc * 10000) AS BIGINT) AS score, CASE WHEN sc >= 45 THEN 'high' WHEN sc >= 20 THEN 'moderate' WHEN sc >= 8 THEN 'low' ELSE 'clean' END AS flag,
   CASE WHEN sc < 8 THEN 'none' WHEN cell = top THEN 'cellular' WHEN phage_ = top THEN 'phage' WHEN dup_ = top THEN 'duplication' ELSE 'viral_mixture' END AS source FROM r""")
 def contamination_rules(spark, sf):
-    return scoring.contamination_rules(_signals(spark, sf)).select("query", F.round(F.col("score") * 10000).cast("long").alias("score"), "flag", "source")
+    return scoring.contamination_rules(_signals(spark, sf)).select("query", F.round(F.round(F.col("score") * 10000, 4)).cast("long").alias("score"), "flag", "source")
 
 
 _CONTIGS = """con AS (SELECT l_orderkey AS contig, count(*) FILTER (l_returnflag = 'A') AS viral, count(*) FILTER (l_returnflag = 'N') AS cell, count(*) FILTER (l_returnflag = 'R') AS phage,
