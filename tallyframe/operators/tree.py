@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators.joins import prefix_join
 from tallyframe.operators.rank import best, top_n
-from tallyframe.operators.staging import staged
+from tallyframe.operators.staging import staged, tasks_for
 
+#: Pairs of node and ancestor that one task joins.
+PAIRS_PER_TASK = 250_000
 EDGE_SCHEMA = "tree string, node int, parent int, length double, leaf string"
 
 
@@ -70,7 +72,9 @@ def edges_of(trees: DataFrame, tree: str, newick: str) -> DataFrame:
 def ancestors(edges: DataFrame) -> DataFrame:
     """(tree, node, ancestor, dist, hops): every node with itself and all above it, in as many joins as the log of the depth.
 
-    Each round doubles the reach and is a table of its own, so no round is computed twice.
+    Each round doubles the reach and is a table of its own, so no round is computed twice. The rows are dealt by node to as many tasks as
+    their number asks for, and joins here are merges: a tree's tables are narrow, and what is few bytes when shuffled is many when every task
+    and the driver hold it as a map.
     """
     none = edges.select("tree", "node", F.col("node").alias("ancestor"), F.lit(0.0).alias("dist"), F.lit(0).alias("hops"))
     one = edges.where("parent is not null").select("tree", "node", F.col("parent").alias("ancestor"), F.col("length").alias("dist"), F.lit(1).alias("hops"))
@@ -79,10 +83,11 @@ def ancestors(edges: DataFrame) -> DataFrame:
     while True:
         up = rounds[-1].where(F.col("hops") == far)
         if up.isEmpty():
-            return functools.reduce(DataFrame.unionByName, rounds)
+            n = sum(r.count() for r in rounds[1:])
+            return functools.reduce(DataFrame.unionByName, rounds).repartition(tasks_for(edges.sparkSession, n, PAIRS_PER_TASK), "tree", "node").hint("merge")
         up = up.select("tree", F.col("node").alias("ancestor"), F.col("ancestor").alias("_top"), F.col("dist").alias("_more"))
         both = F.col("dist") + F.col("_more")
-        new = reach.join(up, ["tree", "ancestor"]).select("tree", "node", F.col("_top").alias("ancestor"), both.alias("dist"), (F.col("hops") + far).alias("hops"))
+        new = reach.join(up.hint("merge"), ["tree", "ancestor"]).select("tree", "node", F.col("_top").alias("ancestor"), both.alias("dist"), (F.col("hops") + far).alias("hops"))
         rounds.append(staged(new, "tree-reach"))
         reach, far = reach.unionByName(rounds[-1]), 2 * far
 
@@ -97,11 +102,11 @@ def patristic(edges: DataFrame, left: DataFrame, right: DataFrame, up: DataFrame
     below = (ancestors(edges) if up is None else up).select("tree", "node", F.col("ancestor").alias("via"), "dist")
 
     def side(who: DataFrame, name: str) -> DataFrame:
-        mine = leaves.join(who.select("tree", "leaf"), ["tree", "leaf"])
-        climbed = below.join(mine, ["tree", "node"]).join(step, ["tree", "via"])
+        mine = leaves.join(who.select("tree", "leaf").hint("merge"), ["tree", "leaf"])
+        climbed = below.join(mine, ["tree", "node"]).join(step.hint("merge"), ["tree", "via"])
         return climbed.select("tree", "meet", F.col("via").alias(f"v_{name}"), F.col("leaf").alias(name), (F.col("dist") + F.col("length")).alias(f"d_{name}"))
 
-    met = side(left, "a").join(side(right, "b"), ["tree", "meet"]).where("v_a <> v_b")
+    met = side(left, "a").join(side(right, "b").hint("merge"), ["tree", "meet"]).where("v_a <> v_b")
     return met.select("tree", "a", "b", (F.col("d_a") + F.col("d_b")).alias("dist"))
 
 
@@ -111,8 +116,8 @@ def pair_distances(pairs: DataFrame, edges: DataFrame, up: DataFrame) -> DataFra
     a = climbed.select("tree", F.col("leaf").alias("a"), "ancestor", F.col("dist").alias("_a"))
     b = climbed.select("tree", F.col("leaf").alias("b"), "ancestor", F.col("dist").alias("_b"))
     keys = pairs.select("tree", "a", "b").distinct()
-    met = keys.join(a, ["tree", "a"]).join(b, ["tree", "b", "ancestor"]).groupBy("tree", "a", "b").agg(F.min(F.col("_a") + F.col("_b")).alias("dist"))
-    return pairs.join(met, ["tree", "a", "b"])
+    met = keys.join(a.hint("merge"), ["tree", "a"]).join(b.hint("merge"), ["tree", "b", "ancestor"]).groupBy("tree", "a", "b").agg(F.min(F.col("_a") + F.col("_b")).alias("dist"))
+    return pairs.join(met.hint("merge"), ["tree", "a", "b"])
 
 
 def nearest_reference(distances: DataFrame) -> DataFrame:
@@ -133,10 +138,10 @@ def nearest_below(edges: DataFrame, queries: DataFrame, references: DataFrame, u
     Each node keeps the nearest reference below it, each query looks at the nodes above it: no pairs of queries and references.
     """
     leaves = edges.where("leaf is not null").select("tree", "node", "leaf")
-    climbed = lambda who: up.join(leaves.join(who.select("tree", "leaf"), ["tree", "leaf"]), ["tree", "node"])
+    climbed = lambda who: up.join(leaves.join(who.select("tree", "leaf").hint("merge"), ["tree", "leaf"]), ["tree", "node"])
     order = lambda d, name: F.struct(F.round(d, 9).alias("key"), name.alias("name"), d.alias("dist"))
     best_below = climbed(references).groupBy("tree", "ancestor").agg(F.min(order(F.col("dist"), F.col("leaf"))).alias("n"))
-    seen = climbed(queries).join(best_below, ["tree", "ancestor"])
+    seen = climbed(queries).join(best_below.hint("merge"), ["tree", "ancestor"])
     one = seen.groupBy("tree", F.col("leaf").alias("a")).agg(F.min(order(F.col("dist") + F.col("n.dist"), F.col("n.name"))).alias("n"))
     return one.select("tree", "a", F.col("n.name").alias("b"), F.col("n.dist").alias("dist"))
 
@@ -171,13 +176,13 @@ def query_clades(edges: DataFrame, queries: DataFrame, up: DataFrame | None = No
 def _clade_members(edges: DataFrame, queries: DataFrame, up: DataFrame) -> DataFrame:
     """(tree, node, leaf, at) of the maximal clades of queries: at is the leaf's own node. Names are only moved for these clades."""
     leaves = edges.where("leaf is not null").select("tree", "node", "leaf")
-    marked = leaves.join(queries.select("tree", "leaf", F.lit(True).alias("q")), ["tree", "leaf"], "left").withColumn("q", F.coalesce("q", F.lit(False)))
+    marked = leaves.join(queries.select("tree", "leaf", F.lit(True).alias("q")).hint("merge"), ["tree", "leaf"], "left").withColumn("q", F.coalesce("q", F.lit(False)))
     pure = up.join(marked.select("tree", "node", "q"), ["tree", "node"]).groupBy("tree", F.col("ancestor").alias("node")).agg(F.bool_and("q").alias("pure")).where("pure")
     pure = staged(pure.select("tree", "node"), "tree-clades")
     above = pure.select("tree", F.col("node").alias("parent"))
-    top = edges.select("tree", "node", F.coalesce("parent", F.lit(-1)).alias("parent")).join(pure, ["tree", "node"], "left_semi").join(above, ["tree", "parent"], "left_anti")
+    top = edges.select("tree", "node", F.coalesce("parent", F.lit(-1)).alias("parent")).join(pure.hint("merge"), ["tree", "node"], "left_semi").join(above.hint("merge"), ["tree", "parent"], "left_anti")
     inside = up.join(top.select("tree", F.col("node").alias("ancestor")), ["tree", "ancestor"])
-    return staged(inside.join(leaves, ["tree", "node"]).select("tree", F.col("ancestor").alias("node"), "leaf", F.col("node").alias("at")), "tree-members")
+    return staged(inside.join(leaves.hint("merge"), ["tree", "node"]).select("tree", F.col("ancestor").alias("node"), "leaf", F.col("node").alias("at")), "tree-members")
 
 
 def clade_spread(edges: DataFrame, queries: DataFrame, up: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
@@ -192,9 +197,9 @@ def clade_spread(edges: DataFrame, queries: DataFrame, up: DataFrame | None = No
     parts = members.join(below, ["tree", "at"]).groupBy("tree", "node", "edge").agg(F.count("*").alias("k"))
     lengths = edges.select("tree", F.col("node").alias("edge"), F.coalesce("length", F.lit(0.0)).alias("length"))
     # edges at or above the clade's node have all leaves below them and add nothing
-    sums = parts.join(sizes, ["tree", "node"]).where("k < m").join(lengths, ["tree", "edge"]).groupBy("tree", "node").agg(F.sum(F.col("length") * F.col("k") * (F.col("m") - F.col("k"))).alias("sum"))
+    sums = parts.join(sizes.hint("merge"), ["tree", "node"]).where("k < m").join(lengths.hint("merge"), ["tree", "edge"]).groupBy("tree", "node").agg(F.sum(F.col("length") * F.col("k") * (F.col("m") - F.col("k"))).alias("sum"))
     pairs = F.expr("m * (m - 1) div 2")
-    return sizes.join(sums, ["tree", "node"], "left").select("tree", "node", F.coalesce(F.try_divide(F.coalesce("sum", F.lit(0.0)), pairs), F.lit(0.0)).alias("mean_dist"), pairs.alias("pairs"))
+    return sizes.join(sums.hint("merge"), ["tree", "node"], "left").select("tree", "node", F.coalesce(F.try_divide(F.coalesce("sum", F.lit(0.0)), pairs), F.lit(0.0)).alias("mean_dist"), pairs.alias("pairs"))
 
 
 def rerooted(edges: DataFrame, outgroups: DataFrame, up: DataFrame | None = None) -> DataFrame:
@@ -207,12 +212,12 @@ def rerooted(edges: DataFrame, outgroups: DataFrame, up: DataFrame | None = None
     leaf = edges.where("leaf is not null and parent is not null").join(outgroups.select("tree", "leaf"), ["tree", "leaf"])
     path = staged(up.join(leaf.select("tree", "node"), ["tree", "node"]).select("tree", F.col("ancestor").alias("node"), "hops"), "tree-path")
     new_root = edges.groupBy("tree").agg((F.max("node") + 1).alias("new")).join(leaf.select("tree", (F.col("length") / 2).alias("half")), "tree")
-    here = path.join(edges.select("tree", "node", "length", "leaf"), ["tree", "node"])
+    here = path.join(edges.select("tree", "node", "length", "leaf").hint("merge"), ["tree", "node"])
     carried = here.select("tree", (F.col("hops") + 1).alias("hops"), F.col("node").alias("below"), F.col("length").alias("was"))
     turned = here.join(carried, ["tree", "hops"], "left").join(new_root, "tree")
     ends = F.col("hops") <= 1  # the outgroup and the node above it
     turned = turned.select("tree", "node", F.when(ends, F.col("new")).otherwise(F.col("below")).alias("parent"), F.when(ends, F.col("half")).otherwise(F.col("was")).alias("length"), "leaf")
-    rest = edges.select("tree", "node", "parent", "length", "leaf").join(path.select("tree", "node"), ["tree", "node"], "left_anti")
+    rest = edges.select("tree", "node", "parent", "length", "leaf").join(path.select("tree", "node").hint("merge"), ["tree", "node"], "left_anti")
     tops = new_root.select("tree", F.col("new").alias("node"), F.lit(None).cast("int").alias("parent"), F.lit(0.0).alias("length"), F.lit(None).cast("string").alias("leaf"))
     made = staged(rest.unionByName(turned).unionByName(tops), "tree-turned")
     # the old root, if one child is left to it, is spliced out
@@ -239,11 +244,11 @@ def placements(edges: DataFrame, queries: DataFrame, labels: DataFrame) -> DataF
     members = _clade_members(rooted, asked, up)
     near = staged(nearest_below(rooted, asked, references, up), "tree-near")
     first = F.min(F.struct(F.round("dist", 9).alias("key"), F.col("b").alias("name"), "dist"))
-    clades = members.join(near.withColumnRenamed("a", "leaf"), ["tree", "leaf"]).groupBy("tree", "node").agg(
+    clades = members.join(near.withColumnRenamed("a", "leaf").hint("merge"), ["tree", "leaf"]).groupBy("tree", "node").agg(
         F.array_sort(F.collect_list("leaf")).alias("names"), first.alias("n"), F.count("*").alias("size")
     )
     spread = clade_spread(rooted, asked, up, members).select("tree", "node", "mean_dist")
-    told = members.select("tree", "node", "leaf").join(clades.join(spread, ["tree", "node"]), ["tree", "node"])
+    told = members.select("tree", "node", "leaf").join(clades.join(spread.hint("merge"), ["tree", "node"]).hint("merge"), ["tree", "node"])
     pairs = told.select("tree", F.col("leaf").alias("a"), F.col("n.name").alias("b"), "names", "size", "mean_dist", F.col("n.dist").alias("ref_dist"))
     placed = pair_distances(staged(pairs, "tree-pairs"), rooted, up).join(labels.select(F.col("leaf").alias("b"), "taxonomy"), "b", "left")
     clade = F.col("size") >= 2
